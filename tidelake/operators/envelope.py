@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidelake.functions.decode import json_fields
 from tidelake.schemas import ENVELOPE, EVENT
 
 UNROUTED = "__unrouted__"
@@ -20,19 +21,19 @@ def parse_records(records: DataFrame, ingested_at: Column | None = None) -> Data
     opened = records.select(
         "topic", "partition", "offset", moment.alias("_cdc_ingested_at"),
         F.col("value").isNull().alias("is_tombstone"),
-        F.from_json(F.col("value").cast("string"), ENVELOPE).alias("doc"),
+        json_fields(F.col("value").cast("string"), ENVELOPE),
     )
     return opened.select(
-        F.col("doc.op").alias("_cdc_op"),
-        F.col("doc.source.ts_ms").alias("_cdc_source_ts_ms"),
-        F.col("doc.ts_ms").alias("_cdc_event_ts_ms"),
+        F.col("op").alias("_cdc_op"),
+        F.col("source.ts_ms").alias("_cdc_source_ts_ms"),
+        F.col("ts_ms").alias("_cdc_event_ts_ms"),
         "_cdc_ingested_at",
         F.col("topic").alias("_cdc_topic"),
         F.col("partition").cast("int").alias("_cdc_partition"),
         F.col("offset").cast("bigint").alias("_cdc_offset"),
-        F.col("doc.before").alias("before_json"),
-        F.col("doc.after").alias("after_json"),
-        F.coalesce(F.col("doc.source.table"), F.lit(UNROUTED)).alias("source_table"),
+        F.col("before").alias("before_json"),
+        F.col("after").alias("after_json"),
+        F.coalesce(F.col("source.table"), F.lit(UNROUTED)).alias("source_table"),
         F.to_date("_cdc_ingested_at").alias("ingest_date"),
         "is_tombstone",
     )

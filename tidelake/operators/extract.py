@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.functions.decode import as_type
+from tidelake.functions.decode import as_type, json_fields
 from tidelake.schemas import Entity
 
 
@@ -22,10 +22,10 @@ def extract(events: DataFrame, entity: Entity, updated_at: Column | None = None)
     moment = F.current_timestamp().cast("timestamp_ntz") if updated_at is None else updated_at
     opened = events.select(
         "_cdc_op", "_cdc_source_ts_ms", "_cdc_offset", moment.alias("_silver_updated_at"),
-        F.from_json(chosen_image(), entity.payload).alias("image"),
+        json_fields(chosen_image(), entity.payload),
     )
     typed = [
-        as_type(F.col("image").getField(entity.source_field(name)), kind).alias(name)
+        as_type(F.col(entity.source_field(name)), kind).alias(name)
         for name, kind in entity.columns.items()
     ]
     return opened.select(

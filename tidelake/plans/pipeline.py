@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelake.operators.extract import extract
@@ -19,6 +21,34 @@ from tidelake.sources.tables import VersionedTable
 EPOCH = datetime(1970, 1, 1)
 
 
+class OnDemand(Mapping):
+    """Tables by name, each opened when it is first asked for."""
+
+    def __init__(self, names: Iterable[str], open_table: Callable[[str], DataFrame]):
+        self._names, self._open, self._opened = tuple(names), open_table, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def side_by_side(task: Callable[[str], object], names: Iterable[str], at_once: int = 4) -> dict:
+    """Run independent jobs together, so that small tables fill what a large one leaves idle."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(names)))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(task), name) for name in names}
+        return {name: job.result() for name, job in running.items()}
+
+
 @dataclass
 class Lakehouse:
     """The three layers below one root folder.
@@ -49,11 +79,11 @@ class Lakehouse:
     def state(self, name: str, as_of: int | None = None) -> DataFrame:
         return self.state_table(name).read(as_of)
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self.state(name) for name in self.entities}
+    def tables(self) -> OnDemand:
+        return OnDemand(self.entities, self.state)
 
-    def reports(self) -> dict[str, DataFrame]:
-        return {name: self.report_table(name).read() for name in GOLD}
+    def reports(self) -> OnDemand:
+        return OnDemand(GOLD, lambda name: self.report_table(name).read())
 
 
 def stage(events: DataFrame, entity: Entity, updated_at: Column | None = None) -> DataFrame:
@@ -66,10 +96,17 @@ def apply_events(
 ) -> int | None:
     """Merge new events into a current-state table; returns its version, or None without events.
 
-    Only the buckets that hold changed keys are read and rewritten.
+    Only the buckets that hold changed keys are read and rewritten. Into an empty table the newest
+    rows are written as they are. What ``made_by`` has already published is not done again.
     """
     entity, table = lake.entities[name], lake.state_table(name)
-    staged = stage(events, entity, updated_at).persist()
+    last = table.note()
+    if last["made_by"] == made_by:
+        return last["version"]
+    staged = stage(events, entity, updated_at)
+    if not last["places"]:
+        return table.publish(staged, (), made_by) if not events.isEmpty() else None
+    staged = staged.persist()
     try:
         touched = table.touched_by(staged)
         if not touched:
@@ -84,34 +121,33 @@ def merge_new_events(
     lake: Lakehouse, watermark: datetime, made_by: str, updated_at: Column | None = None,
     names: Iterable[str] | None = None, **rules,
 ) -> dict[str, int | None]:
-    """Merge what was ingested after ``watermark``, table by table."""
-    return {
-        name: apply_events(
-            lake, name, read_new_events(lake.spark, lake.log_root, name, watermark), made_by, updated_at, **rules
-        )
-        for name in (names or lake.entities)
-    }
+    """Merge what was ingested after ``watermark`` into each table."""
+
+    def one(name: str) -> int | None:
+        new = read_new_events(lake.spark, lake.log_root, name, watermark)
+        return apply_events(lake, name, new, made_by, updated_at, **rules)
+
+    return side_by_side(one, names or lake.entities)
 
 
 def rebuild(
     lake: Lakehouse, made_by: str, updated_at: Column | None = None, names: Iterable[str] | None = None
 ) -> dict[str, int]:
     """Replace current-state tables by what the whole event log gives."""
-    versions = {}
-    for name in names or lake.entities:
+
+    def one(name: str) -> int:
         rows = stage(lake.events(name), lake.entities[name], updated_at)
-        versions[name] = lake.state_table(name).publish(rows, (), made_by, replace_all=True)
-    return versions
+        return lake.state_table(name).publish(rows, (), made_by, replace_all=True)
 
+    return side_by_side(one, names or lake.entities)
 
-def refresh_reports(
-    lake: Lakehouse, made_by: str, changed: Iterable[str] | None = None
-) -> dict[str, int]:
+
+def refresh_reports(lake: Lakehouse, made_by: str, changed: Iterable[str] | None = None) -> dict[str, int]:
     """Recompute stored reports, all or those that read a changed table; returns when readable."""
     changed = set(lake.entities if changed is None else changed)
     tables = lake.tables()
-    return {
-        name: lake.report_table(name).publish(model(tables), [0], made_by, replace_all=True)
-        for name, model in gold.MODELS.items()
-        if changed & set(gold.READS[name])
-    }
+
+    def one(name: str) -> int:
+        return lake.report_table(name).publish(gold.MODELS[name](tables), [0], made_by, replace_all=True)
+
+    return side_by_side(one, [name for name in gold.MODELS if changed & set(gold.READS[name])])

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.plans.pipeline import Lakehouse, apply_events, refresh_reports
+from tidelake.plans.pipeline import Lakehouse, apply_events, refresh_reports, side_by_side
 from tidelake.sources.event_log import stream_events
 from tidelake.streaming.ingest import TRIGGER, query_id
 
@@ -35,9 +35,12 @@ def start_state(
             # At most one row per captured table.
             present = {row[0] for row in known.select("source_table").distinct().collect()}
             changed = [name for name in lake.entities if name in present]
-            for name in changed:
+
+            def one(name: str) -> int | None:
                 part = batch.filter(F.col("source_table") == name)
-                apply_events(lake, name, part, made_by, updated_at, **rules)
+                return apply_events(lake, name, part, made_by, updated_at, **rules)
+
+            side_by_side(one, changed)
             if refresh and changed:
                 refresh_reports(lake, made_by, changed)
         finally:
