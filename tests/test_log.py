@@ -1,0 +1,117 @@
+"""Records to event log: parsing, kinds, routing, repeats, snapshots."""
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from tidelake.operators import chosen_image, events_of, parse_records, record_kind, snapshot_events
+from tidelake.operators.envelope import UNROUTED
+from tidelake.plans.pipeline import stage
+from tidelake.plans.quality import rejected_rows
+from tidelake.operators.extract import extract
+from tidelake.schemas import ENTITIES, EVENT, RECORD
+from tidelake.sources import append_events, read_events, read_new_events
+
+WHEN = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
+
+
+def envelope(op="c", table="sellers", before=None, after=None, ts=1000, **extra):
+    return json.dumps({"op": op, "ts_ms": ts + 5, "source": {"ts_ms": ts, "table": table, "db": "shop", "lsn": 1, **extra}, "before": before, "after": after})
+
+
+def records(spark, *values):
+    rows = [
+        (None, None if v is None else bytearray(v, "utf-8"), "shop.public.sellers", i % 3, i, WHEN, 0)
+        for i, v in enumerate(values)
+    ]
+    return spark.createDataFrame(rows, RECORD)
+
+
+def test_envelope_fields_and_raw_images(spark):
+    after = {"seller_id": "s1", "seller_city": 'a "b"', "nested": {"x": [1, 2]}}
+    rows = parse_records(records(spark, envelope("u", before=None, after=after)), F.col("timestamp"))
+    row = rows.first()
+    assert (row._cdc_op, row._cdc_source_ts_ms, row._cdc_event_ts_ms, row.source_table) == ("u", 1000, 1005, "sellers")
+    assert row.before_json is None and json.loads(row.after_json) == after
+    assert row.ingest_date == dt.date(2024, 1, 1)
+    assert events_of(rows).columns[: len(EVENT)] == EVENT.names
+    assert [f.dataType for f in events_of(rows).schema][: len(EVENT)] == [f.dataType for f in EVENT]
+
+
+def test_raw_images_equal_a_json_path_read(spark, small):
+    from tidelake.sources import shop_sample as shop
+
+    rows = shop.all_changes(spark, small)
+    parsed = parse_records(rows, F.col("timestamp")).select("_cdc_topic", "_cdc_offset", "before_json", "after_json", "_cdc_op").dropna(subset=["_cdc_op"])
+    text = F.col("value").cast("string")
+    path = rows.select(
+        F.col("topic").alias("_cdc_topic"), F.col("offset").alias("_cdc_offset"), F.get_json_object(text, "$.before").alias("before_json"),
+        F.get_json_object(text, "$.after").alias("after_json"), F.get_json_object(text, "$.op").alias("_cdc_op"),
+    ).dropna(subset=["_cdc_op"])
+    assert parsed.exceptAll(path).isEmpty() and path.exceptAll(parsed).isEmpty()
+
+
+def test_kinds_of_records(spark):
+    rows = parse_records(records(
+        spark, envelope(after={"seller_id": "1"}), None, "not json", "{}", "[]", '{"op": null}', envelope(table=None, after={"seller_id": "2"}),
+    ), F.col("timestamp"))
+    kinds = [r[0] for r in rows.orderBy("_cdc_offset").select(record_kind(rows)).collect()]
+    assert kinds == ["event", "tombstone", "malformed", "malformed", "malformed", "malformed", "unrouted"]
+    assert events_of(rows).count() == 2  # the unrouted one is kept aside, not dropped
+
+
+def test_each_table_gets_its_folder_and_a_repeat_replaces_itself(spark, tmp_path):
+    root = f"{tmp_path}/log"
+    batch = events_of(parse_records(records(
+        spark, envelope(after={"seller_id": "1"}), envelope(table="orders", after={"order_id": "1"}), envelope(table=None, after={}),
+    ), F.col("timestamp")))
+    append_events(batch, root, "run", 0)
+    append_events(batch, root, "run", 1)
+    append_events(batch, root, "run", 1)  # repeated after a failure
+    append_events(batch, root, "other run", 0)  # checkpoint reset: earlier data stays
+    counts = {r.source_table: r["count"] for r in read_events(spark, root).groupBy("source_table").count().collect()}
+    assert counts == {"sellers": 3, "orders": 3, UNROUTED: 3}
+    assert read_events(spark, root, "orders").count() == 3
+    assert read_events(spark, root, "customers").isEmpty()
+
+
+def test_watermark_is_strict_and_prunes_days(spark, tmp_path):
+    root = f"{tmp_path}/log"
+    batch = events_of(parse_records(records(spark, envelope(after={"seller_id": "1"})), F.col("timestamp")))
+    append_events(batch, root, "run", 0)
+    later = batch.withColumns({"_cdc_ingested_at": F.expr("_cdc_ingested_at + INTERVAL '1' DAY"), "ingest_date": F.date_add("ingest_date", 1)})
+    append_events(later, root, "run", 1)
+    at, before = dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 1, 11, 59)
+    assert read_new_events(spark, root, "sellers", at).count() == 1
+    assert read_new_events(spark, root, "sellers", before).count() == 2
+    next_day = read_new_events(spark, root, "sellers", dt.datetime(2024, 1, 2))
+    plan = next_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "PushedFilters: [IsNotNull(_cdc_ingested_at)" in plan
+    assert len(next_day.inputFiles()) >= 1 and next_day.count() == 1
+
+
+def test_snapshot_rows_survive_the_round_trip(spark):
+    entity = ENTITIES["orders"]
+    rows = spark.sql("""SELECT '1' AS order_id, '2' AS customer_id, 'shipped' AS order_status, timestamp_ntz'2018-02-01 09:00:00' AS order_purchase_timestamp,
+      CAST(NULL AS timestamp_ntz) AS order_approved_at, CAST(NULL AS timestamp_ntz) AS order_delivered_carrier, CAST(NULL AS timestamp_ntz) AS order_delivered_customer,
+      DATE'2018-02-10' AS order_estimated_delivery""")
+    events = snapshot_events(rows, "orders", "t", F.lit(WHEN))
+    first = events.first()
+    assert (first._cdc_op, first._cdc_partition, first._cdc_offset, first.before_json) == ("r", 0, 0, None)
+    assert "order_approved_at" not in first.after_json
+    row = stage(events, entity).first()
+    assert (row.order_id, row.status, row.purchased_at, row.approved_at, row.estimated_delivery_date) == (
+        "1", "shipped", dt.datetime(2018, 2, 1, 9), None, dt.date(2018, 2, 10))
+
+
+def test_deletes_use_the_before_image_and_incomplete_keys_are_set_aside(spark):
+    rows = events_of(parse_records(records(
+        spark, envelope("d", before={"seller_id": "9", "seller_city": "x"}), envelope("c", after={"seller_city": "no key"}),
+    ), F.col("timestamp")))
+    assert [r[0] for r in rows.orderBy("_cdc_offset").select(F.get_json_object(chosen_image(), "$.seller_city")).collect()] == ["x", "no key"]
+    typed = extract(rows, ENTITIES["sellers"])
+    assert rejected_rows(typed, ENTITIES["sellers"]).count() == 1
+    staged = stage(rows, ENTITIES["sellers"]).collect()
+    assert [(r.seller_id, r.is_deleted) for r in staged] == [("9", True)]
+    assert stage(rows, ENTITIES["sellers"]).schema.names == ENTITIES["sellers"].state.names

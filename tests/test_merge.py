@@ -1,0 +1,149 @@
+"""Latest event per key and merge, against a plain model of the log."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelake.operators import insert_absent, latest_change, merge
+from tidelake.schemas import ENTITIES
+
+SELLERS = ENTITIES["sellers"]
+NOW = dt.datetime(2024, 1, 1)
+
+
+def event(key, city, op, ts, offset):
+    return (key, "zip", city, "SP", op, ts, offset, op == "d", NOW)
+
+
+def frame(spark, events):
+    return spark.createDataFrame(events, SELLERS.state)
+
+
+def rank(e):
+    return (e[5], e[4] != "r", e[6])
+
+
+def seen(rows):
+    return sorted((r.seller_id, r.seller_city, r._cdc_op, r._cdc_source_ts_ms, r._cdc_offset, r.is_deleted) for r in rows.collect())
+
+
+def apply(spark, batches, **rules):
+    state = frame(spark, [])
+    for batch in batches:
+        state = merge(state, latest_change(frame(spark, batch), SELLERS), SELLERS, **rules)
+    return seen(state)
+
+
+def model(batches, late_guard=True, delete_keeps_target=False):
+    """The same rules, one event at a time, in plain code."""
+    state = {}
+    for batch in batches:
+        newest = {}
+        for e in batch:
+            if e[0] not in newest or rank(e) > rank(newest[e[0]]):
+                newest[e[0]] = e
+        for key, e in newest.items():
+            old = state.get(key)
+            if old is not None and late_guard and rank(e) <= rank(old):
+                continue
+            if old is not None and delete_keeps_target and e[7]:
+                e = old[:4] + e[4:]
+            state[key] = e
+    return sorted((e[0], e[2], e[4], e[5], e[6], e[7]) for e in state.values())
+
+
+def random_log(seed, n=60, keys=8):
+    """Random lives of rows; positions are unique within a key, times repeat."""
+    draw = random.Random(seed)
+    log = [
+        event(str(draw.randrange(keys)), f"city{i}", draw.choice("rcuud"), draw.randrange(20), i) for i in range(n)
+    ]
+    # A snapshot row has no position of its own and comes once per key and time.
+    snapshots, kept = set(), []
+    for e in log:
+        if e[4] == "r":
+            if (e[0], e[5]) in snapshots:
+                continue
+            snapshots.add((e[0], e[5]))
+            e = e[:6] + (0,) + e[7:]
+        kept.append(e)
+    return kept, draw
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_split_order_and_repeat_of_the_log_gives_its_newest_rows(spark, seed):
+    log, draw = random_log(seed)
+    newest = model([log])
+    assert apply(spark, [log]) == newest
+    shuffled = draw.sample(log, len(log))
+    cut = sorted(draw.sample(range(1, len(log)), 2))
+    batches = [shuffled[: cut[0]], shuffled[cut[0]: cut[1]], shuffled[cut[1]:]]
+    assert apply(spark, batches) == newest
+    assert apply(spark, [batches[2], batches[0], batches[0], batches[1], batches[2]]) == newest
+
+
+@pytest.mark.parametrize("rules", [dict(late_guard=False), dict(delete_keeps_target=True), dict(late_guard=False, delete_keeps_target=True)])
+def test_the_other_rules(spark, rules):
+    log, _ = random_log(7)
+    batches = [log[:20], log[20:40], log[40:]]
+    assert apply(spark, batches, **rules) == model(batches, **rules)
+
+
+def test_clauses_one_by_one(spark):
+    first = [event("1", "a", "r", 10, 0)]
+    assert apply(spark, [first]) == [("1", "a", "r", 10, 0, False)]
+    assert apply(spark, [first, [event("1", "b", "u", 11, 1)]]) == [("1", "b", "u", 11, 1, False)]
+    gone = [event("1", "a", "d", 12, 2)]
+    assert apply(spark, [first, gone]) == [("1", "a", "d", 12, 2, True)]
+    assert apply(spark, [first, gone, [event("1", "c", "c", 13, 3)]]) == [("1", "c", "c", 13, 3, False)]
+    assert apply(spark, [gone]) == [("1", "a", "d", 12, 2, True)]  # unknown key
+    assert apply(spark, [first, [event("2", "z", "c", 1, 9)]]) == [("1", "a", "r", 10, 0, False), ("2", "z", "c", 1, 9, False)]
+
+
+def test_late_event_and_ties(spark):
+    newer, older = [event("1", "new", "u", 20, 5)], [event("1", "old", "u", 10, 4)]
+    assert apply(spark, [newer, older])[0][1] == "new"
+    assert apply(spark, [newer, older], late_guard=False)[0][1] == "old"
+    # At equal times the log beats the snapshot, and the later position wins.
+    snapshot, logged = event("1", "snapshot", "r", 10, 0), event("1", "logged", "u", 10, 0)
+    assert apply(spark, [[snapshot, logged]])[0][1] == "logged"
+    assert apply(spark, [[logged], [snapshot]])[0][1] == "logged"
+    assert apply(spark, [[event("1", "x", "u", 10, 2), event("1", "y", "u", 10, 3)]])[0][1] == "y"
+
+
+def test_update_and_delete_in_one_batch(spark):
+    first, both = [event("1", "a", "r", 1, 0)], [event("1", "b", "u", 2, 1), event("1", "b", "d", 3, 2)]
+    split = [first, both[:1], both[1:]]
+    assert apply(spark, [first, both]) == apply(spark, split) == [("1", "b", "d", 3, 2, True)]
+    assert apply(spark, [first, both], delete_keeps_target=True)[0][1] == "a"
+    assert apply(spark, split, delete_keeps_target=True)[0][1] == "b"
+
+
+def test_two_column_keys(spark):
+    items = ENTITIES["order_items"]
+    row = lambda order, n, price, ts: (order, n, "p", "s", NOW, price, 1, "u", ts, ts, False, NOW)
+    make = lambda rows: spark.createDataFrame(rows, "order_id string, order_item_id int, product_id string, seller_id string, shipping_limit_date timestamp_ntz, price int, freight_value int, _cdc_op string, _cdc_source_ts_ms bigint, _cdc_offset bigint, is_deleted boolean, _silver_updated_at timestamp_ntz")
+    merged = merge(make([row("1", 1, 10, 1), row("1", 2, 20, 1)]), make([row("1", 2, 25, 2), row("2", 1, 5, 2)]), items)
+    assert sorted((r.order_id, r.order_item_id, r.price) for r in merged.collect()) == [("1", 1, 10), ("1", 2, 25), ("2", 1, 5)]
+
+
+def test_insert_absent_leaves_existing_rows(spark):
+    there, staged = [event("1", "kept", "r", 1, 0)], [event("1", "ignored", "u", 9, 9), event("2", "added", "c", 1, 1)]
+    assert [r[:2] for r in seen(insert_absent(frame(spark, there), frame(spark, staged), SELLERS))] == [("1", "kept"), ("2", "added")]
+
+
+def test_latest_prunes_before_the_exchange(spark):
+    """A key with a third of all rows sends one row per task, not all of them."""
+    rows = spark.range(0, 30000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("seller_id"), F.lit("z").alias("seller_zip_code"),
+        F.col("id").cast("string").alias("seller_city"), F.lit("SP").alias("seller_state"), F.lit("u").alias("_cdc_op"),
+        F.col("id").alias("_cdc_source_ts_ms"), F.col("id").alias("_cdc_offset"), F.lit(False).alias("is_deleted"), F.lit(NOW).cast("timestamp_ntz").alias("_silver_updated_at"),
+    )
+    newest = latest_change(rows, SELLERS)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    assert newest.filter(F.col("seller_id") == "hot").first().seller_city == "29997"
+    assert newest.count() == 20001

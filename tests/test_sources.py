@@ -1,0 +1,96 @@
+"""Sources beyond the event log: broker and database options, delimited exports, catalog entries."""
+
+import datetime as dt
+import os
+import re
+
+import pytest
+
+from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT
+from tidelake.sources.catalog import create_event_tables, create_state_tables, event_table_ddl, layout_column, register_views
+from tidelake.sources.files import export_schema, load_csv
+from tidelake.sources.jdbc import block_ranges, jdbc_options
+from tidelake.sources.kafka import kafka_options, topics
+
+
+def test_broker_options():
+    options = kafka_options("broker:9092", topics())
+    assert options["subscribe"].split(",") == [f"shop.public.{n}" for n in ENTITIES]
+    assert {k: options[k] for k in ("startingOffsets", "maxOffsetsPerTrigger", "failOnDataLoss", "kafka.group.id")} == {
+        "startingOffsets": "earliest", "maxOffsetsPerTrigger": "50000", "failOnDataLoss": "false", "kafka.group.id": "bronze-consumer-group"}
+
+
+def in_range(predicate: str, block: int) -> bool:
+    low, high = re.search(r">= '\((\d+),0\)'", predicate), re.search(r"< '\((\d+),0\)'", predicate)
+    return (low is None or block >= int(low[1])) and (high is None or block < int(high[1]))
+
+
+@pytest.mark.parametrize("blocks,parts", [(100, 4), (7, 3), (3, 8), (1, 1), (0, 4)])
+def test_block_ranges_cover_every_block_once(blocks, parts):
+    ranges = block_ranges(blocks, parts)
+    assert 1 <= len(ranges) <= max(parts, 1)
+    for block in range(blocks + 50):  # also blocks added since they were counted
+        assert sum(in_range(r, block) for r in ranges) == 1
+
+
+def test_database_options():
+    options = jdbc_options("jdbc:postgresql://db/shop", "orders", "reader", "secret")
+    assert options["dbtable"] == "public.orders" and options["fetchsize"] == "50000"
+
+
+def test_exports_load_by_position_with_nulls_quotes_and_line_breaks(spark, tmp_path):
+    files = {
+        "products.csv": "product_id,product_category_name,a,b,c,d,e,f,g\np1,,1,2,,4,5,6,7\n\"p,2\",\"\",1,2,3,4,5,6,7\n",
+        "orders.csv": "order_id,customer_id,order_status,w,x,y,z,e\no1,c1,delivered,2018-01-15 14:30:00,2018-01-15T15:00:00,,,2018-01-25\n",
+        "order_reviews.csv": 'a,b,c,d,e,f,g\nr1,o1,5,"He said ""yes""","two\nlines, one comment",2018-01-23 00:00:00,2018-01-24 00:00:00\nr2,o2,3,,,,\n',
+        "geolocation.csv": "zip,lat,lng,city,state\n01310,-23.5,-46.6,sao paulo,SP\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    loaded = load_csv(spark, str(tmp_path))
+    assert set(loaded) == {"products", "orders", "order_reviews", "geolocation"}  # missing files are skipped
+    assert all(frame.schema.names == export_schema(name).names for name, frame in loaded.items())
+    assert [tuple(r) for r in loaded["products"].collect()] == [("p1", None, 1, 2, None, 4, 5, 6, 7), ("p,2", "", 1, 2, 3, 4, 5, 6, 7)]
+    order = loaded["orders"].first()
+    assert order.order_purchase_timestamp == dt.datetime(2018, 1, 15, 14, 30) and order.order_approved_at == dt.datetime(2018, 1, 15, 15)
+    assert order.order_delivered_carrier is None and order.order_estimated_delivery == dt.date(2018, 1, 25)
+    reviews = {r.review_id: r for r in loaded["order_reviews"].collect()}
+    assert reviews["r1"].review_comment_title == 'He said "yes"' and reviews["r1"].review_comment_msg == "two\nlines, one comment"
+    assert reviews["r2"].review_comment_title is None and reviews["r2"].review_creation_date is None
+    assert tuple(loaded["geolocation"].first()) == ("01310", -23.5, -46.6, "sao paulo", "SP")
+
+
+def test_declared_tables(spark, tmp_path):
+    assert set(create_event_tables(spark, f"{tmp_path}/bronze", "bronze_test")) == set(ENTITIES)
+    create_event_tables(spark, f"{tmp_path}/bronze", "bronze_test")  # again: no error, no change
+    for name in ENTITIES:
+        fields = spark.table(f"bronze_test.{name}").schema.fields
+        assert [(f.name, f.dataType) for f in fields][: len(EVENT)] == [(f.name, f.dataType) for f in EVENT]
+    ddl = event_table_ddl("b", "orders", "/log", REQUIRED_IN_EVENT)
+    assert all(re.search(rf"{c} \w+ NOT NULL", ddl) for c in REQUIRED_IN_EVENT) and "before_json string," in ddl
+    assert set(create_state_tables(spark, f"{tmp_path}/silver", "silver_test")) == set(ENTITIES)
+    for name, entity in ENTITIES.items():
+        fields = {f.name: f.dataType for f in spark.table(f"silver_test.{name}").schema}
+        assert {f.name: f.dataType for f in entity.state}.items() <= fields.items()
+        columns = spark.catalog.listColumns(f"silver_test.{name}")
+        assert [c.name for c in columns if c.isPartition] == [layout_column(entity)]
+    assert layout_column(ENTITIES["orders"]) == "purchased_at_month" and layout_column(ENTITIES["sellers"]) == "seller_state"
+    spark.sql("ALTER TABLE silver_test.orders ADD COLUMN extra INT")
+    create_state_tables(spark, f"{tmp_path}/silver", "silver_test")
+    assert "extra" in spark.table("silver_test.orders").columns  # kept unless asked to recreate
+    create_state_tables(spark, f"{tmp_path}/silver", "silver_test", recreate=True)
+    assert "extra" not in spark.table("silver_test.orders").columns
+
+
+def test_event_tables_read_the_streams_folders(spark, small, tmp_path):
+    from tidelake.registry.queries import events
+    from tidelake.sources import append_events
+
+    append_events(events(spark, small, "sellers"), f"{tmp_path}/log", "run", 0)
+    create_event_tables(spark, f"{tmp_path}/log", "bronze_read")
+    spark.sql("MSCK REPAIR TABLE bronze_read.sellers")
+    found = spark.sql("SELECT count(*) AS n, count(DISTINCT batch_id) AS b FROM bronze_read.sellers WHERE run_id = 'run'").first()
+    assert found.n == events(spark, small, "sellers").count() and found.b == 1
+    register_views({"sellers": spark.table("bronze_read.sellers")}, "log_")
+    assert spark.sql("SELECT count(*) FROM log_sellers").first()[0] == found.n
+    assert os.path.isdir(f"{tmp_path}/log/source_table=sellers")

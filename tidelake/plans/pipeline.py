@@ -41,11 +41,11 @@ class OnDemand(Mapping):
         return len(self._names)
 
 
-def side_by_side(task: Callable[[str], object], names: Iterable[str], at_once: int = 4) -> dict:
+def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iterable[str], at_once: int = 4) -> dict:
     """Run independent jobs together, so that small tables fill what a large one leaves idle."""
     names = list(names)
     with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(names)))) as pool:
-        running = {name: pool.submit(inheritable_thread_target(task), name) for name in names}
+        running = {name: pool.submit(inheritable_thread_target(spark)(task), name) for name in names}
         return {name: job.result() for name, job in running.items()}
 
 
@@ -127,7 +127,7 @@ def merge_new_events(
         new = read_new_events(lake.spark, lake.log_root, name, watermark)
         return apply_events(lake, name, new, made_by, updated_at, **rules)
 
-    return side_by_side(one, names or lake.entities)
+    return side_by_side(lake.spark, one, names or lake.entities)
 
 
 def rebuild(
@@ -139,7 +139,7 @@ def rebuild(
         rows = stage(lake.events(name), lake.entities[name], updated_at)
         return lake.state_table(name).publish(rows, (), made_by, replace_all=True)
 
-    return side_by_side(one, names or lake.entities)
+    return side_by_side(lake.spark, one, names or lake.entities)
 
 
 def refresh_reports(lake: Lakehouse, made_by: str, changed: Iterable[str] | None = None) -> dict[str, int]:
@@ -150,4 +150,4 @@ def refresh_reports(lake: Lakehouse, made_by: str, changed: Iterable[str] | None
     def one(name: str) -> int:
         return lake.report_table(name).publish(gold.MODELS[name](tables), [0], made_by, replace_all=True)
 
-    return side_by_side(one, [name for name in gold.MODELS if changed & set(gold.READS[name])])
+    return side_by_side(lake.spark, one, [name for name in gold.MODELS if changed & set(gold.READS[name])])

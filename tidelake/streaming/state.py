@@ -40,7 +40,7 @@ def start_state(
                 part = batch.filter(F.col("source_table") == name)
                 return apply_events(lake, name, part, made_by, updated_at, **rules)
 
-            side_by_side(one, changed)
+            side_by_side(lake.spark, one, changed)
             if refresh and changed:
                 refresh_reports(lake, made_by, changed)
         finally:
