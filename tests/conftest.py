@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__driver__memory="4g", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__driver__memory="4g", spark__sql__maxMetadataStringLength="4000", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
@@ -25,7 +25,3 @@ def spark(tmp_path_factory):
 def small():
     return SMALL
 
-
-def plan_of(rows) -> str:
-    """The physical plan as text."""
-    return rows._jdf.queryExecution().executedPlan().toString()

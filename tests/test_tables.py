@@ -79,3 +79,28 @@ def test_one_file_per_task_and_bucket_after_a_join_on_the_key(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_expired_versions_leave_current_rows(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4)
+    everyone = rows(spark, range(40), "a")
+    table.publish(everyone, range(4), "load")
+    for i in range(1, 5):
+        change = rows(spark, [3], f"b{i}")
+        touched = table.touched_by(change)
+        table.publish(table.read(only=touched).filter("id != 3").unionByName(change), touched, f"change {i}")
+    assert table.expire(keep=2) == [1, 2, 3] and table.versions() == [4, 5]
+    assert content(table) == sorted([(i, "b4" if i == 3 else "a") for i in range(40)])
+    assert dict(content(table, as_of=4))[3] == "b3" and table.read(as_of=3).isEmpty()
+    # Untouched buckets still live where version 1 put them; replaced copies are gone.
+    assert len([n for n in os.listdir(f"{tmp_path}/t/version=1") if n.startswith("bucket=")]) == 3
+    assert [n for n in os.listdir(f"{tmp_path}/t/version=2") if n.startswith("bucket=")] == []
+    assert table.expire(keep=2) == []
+
+
+def test_two_writers_cannot_both_have_a_version(spark, tmp_path):
+    from tidelake.sources.storage import write_text
+
+    write_text(spark, f"{tmp_path}/note.json", "1")
+    with pytest.raises(OSError):
+        write_text(spark, f"{tmp_path}/note.json", "2")

@@ -63,13 +63,16 @@ def _cohorts(customers: DataFrame) -> DataFrame:
 def cohort_retention(tables: Tables, horizon_days: int = 90) -> DataFrame:
     """90-day retention by joining purchases to each customer's first one over a time range.
 
-    The range join is an inner join with purchases as its large side, which can be split where a
+    The range join is an inner join with purchases as its large side, which is split where a
     customer has very many, and keeps only the earliest match per customer; the outer join that
     keeps customers without a return then has one row per customer on both sides.
     """
     purchases = _purchases(tables)
     first = purchases.groupBy("customer_id").agg(F.min("purchased_at").alias("first_purchase_at"))
-    later = purchases.join(first, "customer_id").filter(
+    # Spark splits a join's partitions only where both sides were exchanged for that join. The first
+    # purchases lie by customer already; a second join column makes them be exchanged once more.
+    spread = F.hash("customer_id").alias("spread")
+    later = purchases.select("*", spread).join(first.select("*", spread), ["customer_id", "spread"]).filter(
         (F.col("purchased_at") > F.col("first_purchase_at"))
         & (F.col("purchased_at") <= F.col("first_purchase_at") + F.make_dt_interval(F.lit(horizon_days)))
     )

@@ -33,9 +33,8 @@ def sold_lines(tables: Tables) -> DataFrame:
 
 def daily_revenue(tables: Tables) -> DataFrame:
     sums = [F.sum("total_revenue").alias("total_revenue"), F.sum("total_freight").alias("total_freight")]
-    per_order = sold_lines(tables).groupBy("order_id", "order_date", "category").agg(
-        F.sum("price").alias("total_revenue"), F.sum("freight_value").alias("total_freight"),
-        F.min("customer_id").alias("customer_id"),
+    per_order = sold_lines(tables).groupBy("order_id", "customer_id", "order_date", "category").agg(
+        F.sum("price").alias("total_revenue"), F.sum("freight_value").alias("total_freight")
     )
     per_customer = per_order.groupBy("order_date", "category", "customer_id").agg(*sums, F.count("*").alias("orders"))
     per_day = per_customer.groupBy("order_date", "category").agg(

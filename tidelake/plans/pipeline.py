@@ -10,12 +10,13 @@ from datetime import datetime
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidelake.operators.envelope import snapshot_events
 from tidelake.operators.extract import extract
 from tidelake.operators.latest import latest_change
 from tidelake.operators.merge import merge
 from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
-from tidelake.sources.event_log import read_events, read_new_events
+from tidelake.sources.event_log import append_events, read_events, read_new_events
 from tidelake.sources.tables import VersionedTable
 
 EPOCH = datetime(1970, 1, 1)
@@ -91,6 +92,12 @@ def stage(events: DataFrame, entity: Entity, updated_at: Column | None = None) -
     return latest_change(extract(events, entity, updated_at), entity)
 
 
+def load_snapshot(lake: Lakehouse, name: str, rows: DataFrame, run_id: str, loaded_at: datetime, topic: str) -> None:
+    """Put a whole source table into the event log, as it is read: no exchange, no count."""
+    moment = F.lit(loaded_at.isoformat()).cast("timestamp")
+    append_events(snapshot_events(rows, name, topic, moment), lake.log_root, run_id, 0, even_out=False)
+
+
 def apply_events(
     lake: Lakehouse, name: str, events: DataFrame, made_by: str, updated_at: Column | None = None, **rules
 ) -> int | None:

@@ -10,17 +10,19 @@ from tidelake.schemas import EVENT_FILE, EVENT_FOLDERS
 from tidelake.sources.storage import exists
 
 
-def append_events(events: DataFrame, root: str, run_id: str, batch_id: int) -> None:
+def append_events(events: DataFrame, root: str, run_id: str, batch_id: int, even_out: bool = True) -> None:
     """Write one batch of events, routed to its tables' folders in a single job.
 
     Folders are named by table, day, run and batch, and only the folders written to are replaced.
     Repeating a batch therefore leaves one copy, and a run started anew cannot touch an older
-    one's data. The rebalance step evens out file sizes, also where one table dominates the batch.
+    one's data. ``even_out`` evens out file sizes by one exchange, also where one table dominates
+    the batch; events of a single table, already in even parts, do without.
     """
+    rows = events.select("*", F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+    if even_out:
+        rows = rows.hint("rebalance", "source_table", "ingest_date")
     (
-        events.select("*", F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        .hint("rebalance", "source_table", "ingest_date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*EVENT_FOLDERS.names).parquet(root)
     )
 

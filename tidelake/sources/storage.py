@@ -30,7 +30,7 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Written aside and renamed, so a reader sees the whole file or none."""
+    """A new file, written aside and renamed, so that a reader sees the whole file or none."""
     fs, p = _path(spark, path)
     aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
     stream = fs.create(aside, True)
@@ -38,5 +38,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if not fs.rename(aside, p):
+    if fs.exists(p) or not fs.rename(aside, p):
         raise OSError(f"could not write {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.functions.layout import bucket_of
-from tidelake.sources.storage import child_names, exists, read_text, write_text
+from tidelake.sources.storage import child_names, exists, read_text, remove, write_text
 
 
 class VersionedTable:
@@ -18,6 +18,7 @@ class VersionedTable:
     the rows. The note is written last, so a version is either complete or not there, no path that
     is being read is ever written to, and a failed attempt leaves nothing a reader would see.
     Rows go to buckets by a hash of the key, so a small change rewrites a small part of the table.
+    A table has one writer at a time; a second one fails when it finds its version taken.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: Iterable[str] = (), buckets: int = 1):
@@ -82,5 +83,23 @@ class VersionedTable:
         )
         return version
 
+    def expire(self, keep: int = 10) -> list[int]:
+        """Forget all but the newest ``keep`` versions and remove the rows only those had.
+
+        Readers that still use a forgotten version must have finished.
+        """
+        known = self.versions()
+        gone, kept = known[:-keep], known[-keep:]
+        used = {(v, b) for version in kept for b, v in self.note(version)["places"].items()}
+        for version in gone:
+            remove(self.spark, f"{self.root}/_notes/{version:012d}.json")
+        for version in known if gone else []:
+            folder = f"{self.root}/version={version}"
+            held = [n.removeprefix("bucket=") for n in child_names(self.spark, folder) if n.startswith("bucket=")]
+            for bucket in held:
+                if (version, bucket) not in used:
+                    remove(self.spark, f"{folder}/bucket={bucket}")
+        return gone
+
     def is_empty(self) -> bool:
         return not exists(self.spark, f"{self.root}/_notes") or not self.versions()
