@@ -49,7 +49,7 @@ class VersionedTable:
         paths = [f"{self.root}/version={places[b]}/bucket={b}" for b in sorted(wanted, key=int)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths).select(*self.schema.names)
+        return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths).drop("version", "bucket")
 
     def touched_by(self, rows: DataFrame) -> list[int]:
         """Buckets that ``rows`` fall into: at most ``buckets`` numbers, whatever the number of rows."""
