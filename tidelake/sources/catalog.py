@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tidelake.schemas import ENTITIES, EVENT, Entity
+from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT, Entity
 
 # The column a partition transform is stored in.
 LAYOUT_COLUMN = {"month": "{}_month", "day": "{}_day", "bucket": "{}_bucket", "identity": "{}"}
@@ -41,14 +41,16 @@ def state_table_ddl(database: str, entity: Entity, location: str) -> str:
     )
 
 
+def _tables_in(spark: SparkSession, database: str) -> list[str]:
+    return [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+
+
 def create_event_tables(spark: SparkSession, location: str, database: str = "bronze") -> list[str]:
     """One external table per entity over its folder of the event log."""
-    from tidelake.schemas import REQUIRED_IN_EVENT
-
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in ENTITIES:
         spark.sql(event_table_ddl(database, table, location, REQUIRED_IN_EVENT))
-    return [t.name for t in spark.catalog.listTables(database)]
+    return _tables_in(spark, database)
 
 
 def create_state_tables(spark: SparkSession, location: str, database: str = "silver", recreate: bool = False) -> list[str]:
@@ -58,7 +60,7 @@ def create_state_tables(spark: SparkSession, location: str, database: str = "sil
         if recreate:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{entity.name}")
         spark.sql(state_table_ddl(database, entity, location))
-    return [t.name for t in spark.catalog.listTables(database)]
+    return _tables_in(spark, database)
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
