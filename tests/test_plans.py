@@ -132,3 +132,14 @@ def test_log_queries_stay_inside_the_engine(spark, small, name):
     plan = plan_of(QUERIES[name](spark, small))
     for banned in ("Cartesian", "NestedLoop", "Python"):
         assert banned not in plan
+
+
+def test_exact_percentiles_read_the_events_once(spark, small, tmp_path):
+    from tidelake.plans import metrics
+    from tidelake.sources import read_events
+
+    append_events(events(spark, small, "orders"), f"{tmp_path}/log", "run", 0)
+    rows = metrics.commit_latency(read_events(spark, f"{tmp_path}/log", "orders"))
+    rows.collect()
+    final = plan_of(rows).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
