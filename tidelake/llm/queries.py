@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import documents
+from tidelake.llm.common import documents, stored
 from tidelake.llm.packing import pack
+from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
 from tidelake.llm.token_counts import count_tokens
 from tidelake.llm.token_files import read_token_files, write_token_files
 from tidelake.session import scratch_folder
@@ -27,9 +28,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = stored(fingerprints(documents(spark, sf_dir)), "simhash-prints")
+    return near_groups(prints).select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_token_counts": op4_token_counts,
     "op6_token_files": op6_token_files,
+    "op9_simhash": op9_simhash,
 }
 ORACLE: dict[str, str] = {}
