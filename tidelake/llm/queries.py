@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import documents, stored
+from tidelake.llm.decontaminate import contaminated
 from tidelake.llm.packing import pack
+from tidelake.llm.secrets import find_secrets, listed
 from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
 from tidelake.llm.token_counts import count_tokens
 from tidelake.llm.token_files import read_token_files, write_token_files
@@ -18,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > 512)
 
@@ -28,6 +34,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+    base = F.filter("secrets", lambda x: x["base"])
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(fingerprints(documents(spark, sf_dir)), "simhash-prints")
     return near_groups(prints).select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
@@ -35,8 +54,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_token_files": op6_token_files,
+    "op7_secrets": op7_secrets,
     "op9_simhash": op9_simhash,
 }
 ORACLE: dict[str, str] = {}
