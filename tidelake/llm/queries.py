@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.common import documents, stored
 from tidelake.llm.decontaminate import contaminated
+from tidelake.llm.language import identify
 from tidelake.llm.packing import pack
+from tidelake.llm.quality import judge, verdict_columns
 from tidelake.llm.secrets import find_secrets, listed
 from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
 from tidelake.llm.token_counts import count_tokens
@@ -20,6 +22,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir)).select(*verdict_columns())
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -47,6 +53,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = identify(docs, docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(fingerprints(documents(spark, sf_dir)), "simhash-prints")
     return near_groups(prints).select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
@@ -54,10 +67,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_token_files": op6_token_files,
     "op7_secrets": op7_secrets,
+    "op8_language": op8_language,
     "op9_simhash": op9_simhash,
 }
 ORACLE: dict[str, str] = {}
