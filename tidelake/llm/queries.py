@@ -9,6 +9,7 @@ from tidelake.llm.common import documents, stored
 from tidelake.llm.decontaminate import contaminated
 from tidelake.llm.language import identify
 from tidelake.llm.packing import pack
+from tidelake.llm.passages import near_passages
 from tidelake.llm.quality import judge, verdict_columns
 from tidelake.llm.secrets import find_secrets, listed
 from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
@@ -65,6 +66,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(prints).select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -74,5 +79,6 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
+    "op10_passages": op10_passages,
 }
 ORACLE: dict[str, str] = {}
