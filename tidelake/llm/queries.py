@@ -12,6 +12,7 @@ from tidelake.llm.packing import pack
 from tidelake.llm.passages import near_passages
 from tidelake.llm.quality import judge, verdict_columns
 from tidelake.llm.secrets import find_secrets, listed
+from tidelake.llm.sharding import shard
 from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
 from tidelake.llm.token_counts import count_tokens
 from tidelake.llm.token_files import read_token_files, write_token_files
@@ -35,6 +36,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shard(documents(spark, sf_dir), 8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-files")
     write_token_files(documents(spark, sf_dir), folder)
@@ -75,6 +81,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
+    "op5_sharding": op5_sharding,
     "op6_token_files": op6_token_files,
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,
