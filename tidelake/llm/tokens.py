@@ -20,7 +20,7 @@ from tidelake.llm.common import slices
 
 _TWO_SPACES = re.compile(r"\s\s")
 _UNIT_END = re.compile(r"(?<=\S) (?=\S)")
-_CACHE_BYTES = 64 << 20
+_CACHE_BYTES = 128 << 20
 _ENTRY_BYTES = 200
 
 
@@ -45,6 +45,15 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_unit = _cuts_at_spaces(json.loads(Path(path).read_text()))
+        self.words, self.marks = None, {}
+        if self.by_unit and not any(x.content.isalpha() for x in self.library.get_added_tokens_decoder().values()):
+            # A unit of letters, with or without a mark at its end, needs no split: it goes to a
+            # tokenizer without one, in the byte alphabet.
+            self.words = Tokenizer.from_file(path)
+            self.words.no_truncation()
+            self.words.no_padding()
+            self.words.pre_tokenizer = None
+            self.marks = {x: self.library.encode(x, add_special_tokens=False).ids for x in ",.;:!?"}
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -60,7 +69,7 @@ class Encoder:
 
     def count(self, units: list[str]) -> list[int]:
         """The number of ids of each unit; nothing is kept."""
-        return [len(x.ids) for i in range(0, len(units), 10_000) for x in self._encoded(units[i : i + 10_000])]
+        return [len(x) for i in range(0, len(units), 10_000) for x in self._found(units[i : i + 10_000])]
 
     def units(self, text: str) -> list[str]:
         """The text's units. The first one, which has no space before it, is marked by one."""
@@ -82,13 +91,45 @@ class Encoder:
                 self.held += len(unit) + len(ids) + _ENTRY_BYTES
         for i in range(0, len(unknown), 10_000):
             part = unknown[i : i + 10_000]
-            for unit, x in zip(part, self._encoded(part), strict=True):
-                self.ids[unit] = ids = array("I", x.ids).tobytes()
+            for unit, x in zip(part, self._found(part), strict=True):
+                self.ids[unit] = ids = array("I", x).tobytes()
                 self.held += len(unit) + len(ids) + _ENTRY_BYTES
 
-    def _encoded(self, units: list[str]) -> list:
-        plain = [unit[1:] if unit[:1] == " " else " " + unit for unit in units]
-        return self.library.encode_batch_fast(plain, add_special_tokens=False)
+    def _found(self, units: list[str]) -> list[list[int]]:
+        """The ids of each unit from the library."""
+        out: list[list[int]] = [[]] * len(units)
+        words, word_at, rest, rest_at = [], [], [], []
+        for i, unit in enumerate(units):
+            first = unit[:1] == " "
+            mark = self.marks.get(unit[-1:])
+            core = unit[first : -1 if mark else None]
+            if self.words and core.isalpha():
+                words.append(("" if first else "\u0120") + core if core.isascii() else _bytes_as_letters(core if first else " " + core))
+                word_at.append((i, mark or []))
+            else:
+                rest.append(unit[1:] if first else " " + unit)
+                rest_at.append(i)
+        if words:
+            for (i, mark), x in zip(word_at, self.words.encode_batch_fast(words, add_special_tokens=False), strict=True):
+                out[i] = x.ids + mark
+        if rest:
+            for i, x in zip(rest_at, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                out[i] = x.ids
+        return out
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte alphabet: visible Latin-1 characters stand for themselves, other bytes for those from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _bytes_as_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
 
 def _cuts_at_spaces(spec: dict) -> bool:
