@@ -24,5 +24,5 @@ def test_exports_to_reports(spark, tmp_path):
 
 def test_options():
     args = arguments(["ingest", "--root", "r", "--servers", "b:9092", "--checkpoint", "c"])
-    assert (args.every, args.max_records, args.topic_prefix) == ("30 seconds", 50000, "shop.public")
+    assert (args.every, args.max_records, args.topic_prefix) == ("30 seconds", None, "shop.public")
     assert arguments(["merge", "--root", "r", "--watermark", "2024-01-01T00:00:00"]).watermark.year == 2024

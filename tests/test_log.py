@@ -5,8 +5,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidelake.operators import chosen_image, events_of, parse_records, record_kind, snapshot_events
-from tidelake.operators.envelope import UNROUTED
+from tidelake.operators import chosen_image, events_of, log_rows, parse_records, record_kind, reject_counts, snapshot_events
+from tidelake.operators.envelope import MALFORMED, UNROUTED
+from tidelake.plans import metrics
 from tidelake.plans.pipeline import stage
 from tidelake.plans.quality import rejected_rows
 from tidelake.operators.extract import extract
@@ -115,3 +116,36 @@ def test_deletes_use_the_before_image_and_incomplete_keys_are_set_aside(spark):
     staged = stage(rows, ENTITIES["sellers"]).collect()
     assert [(r.seller_id, r.is_deleted) for r in staged] == [("9", True)]
     assert stage(rows, ENTITIES["sellers"]).schema.names == ENTITIES["sellers"].state.names
+
+
+def test_snapshot_times_keep_their_microseconds(spark):
+    rows = spark.sql("""SELECT 'r' AS review_id, 'o' AS order_id, 5 AS review_score, CAST(NULL AS string) AS review_comment_title, CAST(NULL AS string) AS review_comment_msg,
+      timestamp_ntz'2018-02-01 14:30:00.123456' AS review_creation_date, timestamp_ntz'0987-01-01 00:00:00.000001' AS review_answer_date""")
+    row = stage(snapshot_events(rows, "order_reviews", "t", F.lit(WHEN)), ENTITIES["order_reviews"]).first()
+    assert row.review_creation_date == dt.datetime(2018, 2, 1, 14, 30, 0, 123456)
+    assert row.review_answer_date == dt.datetime(987, 1, 1, 0, 0, 0, 1)
+
+
+def test_malformed_records_stay_in_the_log(spark):
+    rows = parse_records(records(spark, "not json", "{}", None, envelope(after={"seller_id": "1"})), F.col("timestamp"))
+    kept = {(r.source_table, r._cdc_op): r.after_json for r in log_rows(rows).collect()}
+    assert set(kept) == {(MALFORMED, None), ("sellers", "c")} and log_rows(rows).count() == 3
+    assert {r.after_json for r in log_rows(rows).filter("_cdc_op IS NULL").collect()} == {"not json", "{}"}
+
+
+def test_rejects_are_counted(spark):
+    rows = events_of(parse_records(records(
+        spark, envelope("c", after={"seller_city": "no key"}), envelope(after={"seller_id": "1"}),
+    ), F.col("timestamp")))
+    assert tuple(reject_counts(rows, ENTITIES["sellers"]).first()) == ("sellers", 2, 1, 0)
+    bad = events_of(parse_records(records(
+        spark, envelope(table="orders", after={"order_id": "1", "order_purchase_timestamp": "never"}),
+        envelope(table="orders", after={"order_id": "2", "order_purchase_timestamp": None}),
+    ), F.col("timestamp")))
+    assert tuple(reject_counts(bad, ENTITIES["orders"]).first()) == ("orders", 2, 0, 1)
+
+
+def test_latency_survives_a_time_in_another_unit(spark):
+    rows = spark.createDataFrame([(1_704_067_200_000, WHEN), (9_000_000_000_000_000_000, WHEN), (None, WHEN), (0, WHEN)], "_cdc_source_ts_ms bigint, _cdc_ingested_at timestamp")
+    assert metrics.commit_latency(rows).first().measured_rows == 1
+    assert metrics.commit_latency_approx(rows).first().measured_rows == 1

@@ -33,6 +33,15 @@ def test_block_ranges_cover_every_block_once(blocks, parts):
         assert sum(in_range(r, block) for r in ranges) == 1
 
 
+def test_parts_hold_whatever_the_block_count():
+    assert len(block_ranges(1, 4)) == 4
+
+
+def test_broker_limits_are_parameters():
+    free = kafka_options("b:9092", topics(), max_records=None, skip_missing=False)
+    assert "maxOffsetsPerTrigger" not in free and free["failOnDataLoss"] == "true"
+
+
 def test_database_options():
     options = jdbc_options("jdbc:postgresql://db/shop", "orders", "reader", "secret")
     assert options["dbtable"] == "public.orders" and options["fetchsize"] == "50000"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import os
 from datetime import datetime, timezone
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +15,7 @@ from tidelake.session import build_session
 from tidelake.sources.catalog import create_event_tables, create_state_tables
 from tidelake.sources.files import load_csv
 from tidelake.sources.jdbc import read_table
-from tidelake.sources.kafka import MAX_RECORDS_PER_TRIGGER, read_topics, topics
+from tidelake.sources.kafka import read_topics, topics
 from tidelake.streaming import start_ingest, start_state
 
 
@@ -33,15 +35,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest = command("ingest", "stream change topics into the event log")
     ingest.add_argument("--servers", required=True)
     ingest.add_argument("--topic-prefix", default="shop.public")
-    ingest.add_argument("--max-records", type=int, default=MAX_RECORDS_PER_TRIGGER)
+    ingest.add_argument("--max-records", type=int, help="records per trigger at most; all there are if not given")
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--every", default="30 seconds")
 
     load = command("load", "load whole source tables into the event log")
     load.add_argument("--url", required=True)
     load.add_argument("--user", required=True)
-    load.add_argument("--password", required=True)
-    load.add_argument("--blocks", type=int, default=1, help="blocks of the largest table")
+    load.add_argument("--password-file", help="file with the password; else PGPASSWORD is read")
+    load.add_argument("--blocks", type=int, help="blocks of each table; asked from the database if not given")
     load.add_argument("--parts", type=int, default=4, help="tasks per table")
     load.add_argument("--topic-prefix", default="shop.public")
 
@@ -63,6 +65,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def password(args: argparse.Namespace) -> str:
+    """From a file or the environment: a command line shows up in process lists and logs."""
+    return Path(args.password_file).read_text().strip() if args.password_file else os.environ["PGPASSWORD"]
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lakehouse(spark, args.root, args.buckets)
     now = datetime.now(timezone.utc)
@@ -75,7 +82,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         start_ingest(records, lake.log_root, args.checkpoint, {"processingTime": args.every}).awaitTermination()
     elif args.command == "load":
         for name in ENTITIES:
-            rows = read_table(spark, args.url, name, args.user, args.password, args.blocks, args.parts)
+            rows = read_table(spark, args.url, name, args.user, password(args), args.blocks, args.parts)
             load_snapshot(lake, name, rows, made_by, now, f"{args.topic_prefix}.{name}")
     elif args.command == "load-files":
         for name, rows in load_csv(spark, args.folder).items():

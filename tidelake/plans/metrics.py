@@ -54,11 +54,13 @@ def state_throughput(tables: Tables) -> DataFrame:
 
 
 def _latency_micros() -> Column:
-    return F.unix_micros("_cdc_ingested_at") - F.col("_cdc_source_ts_ms") * 1000
+    return F.try_subtract(F.unix_micros("_cdc_ingested_at"), F.try_multiply(F.col("_cdc_source_ts_ms"), F.lit(1000)))
 
 
 def _measurable(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("_cdc_source_ts_ms").isNotNull() & (F.col("_cdc_source_ts_ms") > 0))
+    """Events with a commit time; one that is no number of milliseconds (it overflows) is left out,
+    which ``measured_rows`` shows."""
+    return events.filter((F.col("_cdc_source_ts_ms") > 0) & _latency_micros().isNotNull())
 
 
 def commit_latency(events: DataFrame) -> DataFrame:

@@ -365,6 +365,15 @@ ORACLE: dict[str, str] = {
     "bronze_stream_ingest": history(
         """SELECT entity AS source_table, kind AS _cdc_op, COUNT(*) AS row_count, MIN(seq) AS first_offset, MAX(seq) AS last_offset,
  COUNT(DISTINCT m%3) AS partitions FROM events GROUP BY 1,2"""),
+    "bronze_snapshot_times": state(
+        """SELECT order_id, purchased_at + INTERVAL '1' MICROSECOND * CAST(m*7919%1000000 AS INT) AS purchased_at, estimated_delivery_date
+ FROM s_orders""", "orders"),
+    "bronze_stream_malformed": history(
+        "SELECT '__malformed__' AS source_table, 'not json' AS record_text, COUNT(*) AS row_count FROM records WHERE kind='junk' GROUP BY 1,2 HAVING COUNT(*)>0", "orders"),
+    "silver_rejected_rows": history(
+        """SELECT entity AS table_name, COUNT(*) AS events_read,
+ COUNT(*) FILTER (WHERE entity='orders' AND kind<>'d' AND m%10=0) AS incomplete_keys,
+ COUNT(*) FILTER (WHERE entity='orders' AND kind<>'d' AND m%7=0) AS undecoded_fields FROM events GROUP BY 1"""),
     "silver_payload_choice": history(
         """SELECT seq AS _cdc_offset, kind AS _cdc_op, CASE WHEN kind='d' THEN 'before' ELSE 'after' END AS image, CAST(m AS STRING) AS order_id,
  COALESCE(set_status, final_status) AS status FROM events""", "orders"),

@@ -48,9 +48,12 @@ def build_session(app: str = "tidelake", master: str | None = None, **conf: str)
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a folder of this machine is used instead.
+    Where that is unset, a local session uses a folder of its machine. On a cluster that would
+    leave each executor with files that no other sees, so it is an error there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return tempfile.mkdtemp(prefix=f"tidelake-{label}-")
     return f"{shared.rstrip('/')}/tidelake/{label}-{uuid.uuid4().hex}"

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidelake.schemas import EVENT_FILE, EVENT_FOLDERS
 from tidelake.sources.storage import exists
 
+# Spark forgets files that are a week older than the newest one it has seen, unless told otherwise.
+ANY_AGE = "36500d"
+
 
 def append_events(events: DataFrame, root: str, run_id: str, batch_id: int, even_out: bool = True) -> None:
     """Write one batch of events, routed to its tables' folders in a single job.
@@ -44,8 +47,12 @@ def read_new_events(spark: SparkSession, root: str, table: str, watermark: datet
 
 
 def stream_events(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """Log files not seen before, as a stream: its checkpoint is the watermark."""
-    reader = spark.readStream.schema(EVENT_FILE).option("ignoreMissingFiles", "true")
+    """Log files not seen before, as a stream: its checkpoint is the watermark.
+
+    Files count however old they are beside the newest one (restored, or copied with their times),
+    and a file that is gone stops the stream: state must not go on without part of its log.
+    """
+    reader = spark.readStream.schema(EVENT_FILE).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(root)

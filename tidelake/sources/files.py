@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.schemas import ENTITIES, LOOKUPS, RECORD
+from tidelake.sources.event_log import ANY_AGE
 from tidelake.sources.storage import exists
 
 # The file name of each table's export.
@@ -60,13 +61,16 @@ def load_csv(
     return found
 
 
-def read_record_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_record_files(
+    spark: SparkSession, path: str, max_files: int | None = None, skip_missing: bool = True
+) -> DataFrame:
     """Change records from parquet files as a stream, in the broker's columns.
 
-    All existing files are read first; ``max_files`` bounds each trigger; files removed since they
-    were listed are passed over.
+    All existing files are read first, whatever their age; ``max_files`` bounds each trigger;
+    ``skip_missing`` passes over files removed since they were listed, else the stream stops there.
     """
-    reader = spark.readStream.schema(RECORD).option("ignoreMissingFiles", "true")
+    reader = spark.readStream.schema(RECORD).option("maxFileAge", ANY_AGE)
+    reader = reader.option("ignoreMissingFiles", str(skip_missing).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -19,16 +19,18 @@ def kafka_options(
     servers: str,
     subscribe: Iterable[str],
     group: str = "bronze-consumer-group",
-    max_records: int = MAX_RECORDS_PER_TRIGGER,
+    max_records: int | None = MAX_RECORDS_PER_TRIGGER,
+    skip_missing: bool = True,
 ) -> dict[str, str]:
-    """Start at the earliest offset, bound each trigger (over all topics), and go on after lost data."""
+    """Start at the earliest offset, bound each trigger (over all topics) where asked to, and go on
+    after lost data unless told to stop there."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(subscribe),
         "startingOffsets": "earliest",
         "kafka.group.id": group,
-        "maxOffsetsPerTrigger": str(max_records),
-        "failOnDataLoss": "false",
+        **({"maxOffsetsPerTrigger": str(max_records)} if max_records else {}),
+        "failOnDataLoss": str(not skip_missing).lower(),
     }
 
 

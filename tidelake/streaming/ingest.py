@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.operators.envelope import UNROUTED, events_of, parse_records
+from tidelake.operators.envelope import UNROUTED, log_rows, parse_records
 from tidelake.plans.metrics import stream_latency
 from tidelake.schemas import ENTITIES
 from tidelake.sources.event_log import append_events
@@ -57,6 +57,6 @@ def start_ingest(
 
     parsed = parse_records(records, ingested_at).observe("ingest", *batch_measures())
     return (
-        events_of(parsed).writeStream.queryName("event-log-ingest").foreachBatch(append)
+        log_rows(parsed).writeStream.queryName("event-log-ingest").foreachBatch(append)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or TRIGGER)).start()
     )
