@@ -39,13 +39,11 @@ def shingle_hashes(words: list[bytes], cache: dict[bytes, int], size: int = SHIN
     return out * _MIX ^ (out >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """A table of word hashes that starts anew when it has grown to its limit."""
-
-    def trim(self, most: int = 400_000) -> WordHashes:
-        if len(self) > most:
-            self.clear()
-        return self
+def trimmed(cache: dict[bytes, int], most: int = 400_000) -> dict[bytes, int]:
+    """A table of word hashes, emptied when it has grown to its limit."""
+    if len(cache) > most:
+        cache.clear()
+    return cache
 
 
 class Items:
@@ -147,10 +145,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
 
 def _search(sent, limit: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, cache = Items(sent.value, limit), WordHashes()
+        items, cache = Items(sent.value, limit), {}
         kind = pa.array([x for x, _ in sent.value]).type
         for batch in batches:
-            found = [(doc_id, *hit) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for hit in items.contained(text, cache.trim())]
+            found = [(doc_id, *hit) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for hit in items.contained(text, trimmed(cache))]
             doc_ids, item_ids, shares = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(item_ids, kind), pa.array(shares, pa.float64())], ["doc_id", "item_id", "containment"])
 
@@ -164,9 +162,9 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: fl
 
     def drop(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, cache = Items(sent.value, limit), WordHashes()
+            items, cache = Items(sent.value, limit), {}
             for batch in batches:
-                yield batch.filter(pa.array([not items.contained(text, cache.trim()) for text in batch.column(at).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([not items.contained(text, trimmed(cache)) for text in batch.column(at).to_pylist()], pa.bool_()))
 
         return run
 
