@@ -4,22 +4,20 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
-
-# Queries without SQL, and why.
-ROWS_ONLY = {"metrics_e2e_latency_approx": "a sketch; its rank error is tested in test_checks"}
-
+from tidelake.registry.oracle import ORACLE
+from tidelake.registry.queries import QUERIES
 
 @pytest.fixture(scope="module")
 def db(small):
     return connect(small)
 
 
-def test_every_query_has_sql_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == set(ROWS_ONLY)
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.oracle_sql())
+@pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_its_sql(spark, db, small, name):
     assert compare(spark, db, entry.queries()[name], entry.oracle_sql()[name], small) == ""
 

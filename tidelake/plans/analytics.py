@@ -13,7 +13,7 @@ from tidelake.plans.gold import Tables, active
 def daily_revenue(tables: Tables) -> DataFrame:
     """Revenue and orders per day and category, delivered orders only."""
     return (
-        gold.sold_lines(tables).groupBy("order_date", "category")
+        gold.sold_lines(tables, by_order=False).groupBy("order_date", "category")
         .agg(money(F.sum("price")).alias("total_revenue"), F.count_distinct("order_id").alias("order_count"))
         .orderBy(F.desc("order_date"), F.desc("total_revenue"))
     )

@@ -20,13 +20,19 @@ def active(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("is_deleted") == F.lit(False))
 
 
-def sold_lines(tables: Tables) -> DataFrame:
-    """Items of delivered orders with their day and product category."""
+def sold_lines(tables: Tables, by_order: bool = True) -> DataFrame:
+    """Items of delivered orders with their day and product category.
+
+    ``by_order`` leaves the lines of an order together; without it orders are joined first, so that
+    only lines of delivered ones are exchanged by product.
+    """
     orders = active(tables["orders"]).filter(F.col("status") == "delivered").select(
         "order_id", "customer_id", F.to_date("purchased_at").alias("order_date")
     )
     items = active(tables["order_items"]).select("order_id", "product_id", "price", "freight_value")
     products = active(tables["products"]).select("product_id", F.col("product_category").alias("category"))
+    if not by_order:
+        return items.join(orders, "order_id").join(products, "product_id")
     # Orders come last: their exchange by order also serves the fold to one row per order.
     return items.join(products, "product_id").join(orders, "order_id")
 

@@ -78,6 +78,24 @@ def commit_latency_approx(events: DataFrame, accuracy: int = 10_000) -> DataFram
     )
 
 
+def approx_rank_check(events: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Whether each value of the sketch stands within its rank error: three numbers, then one pass."""
+    found = _measurable(events).agg(F.percentile_approx(_latency_micros(), list(LEVELS.values()), accuracy).alias("marks")).first()
+    marks = dict(zip(LEVELS, found["marks"] or [None] * len(LEVELS)))
+    ranks = _measurable(events).agg(
+        F.count("*").alias("measured_rows"),
+        *[F.count_if(_latency_micros() < mark).alias(f"{n}_below") for n, mark in marks.items()],
+        *[F.count_if(_latency_micros() <= mark).alias(f"{n}_upto") for n, mark in marks.items()],
+    )
+    slack = F.col("measured_rows") / accuracy + 1
+
+    def in_bounds(name: str, level: float) -> Column:
+        rank = F.col("measured_rows") * level
+        return (F.col(f"{name}_below") - slack <= rank) & (rank <= F.col(f"{name}_upto") + slack)
+
+    return ranks.select(*[in_bounds(n, level).alias(f"{n}_in_bounds") for n, level in LEVELS.items()], "measured_rows")
+
+
 def stream_latency(now: Column) -> Column:
     """Seconds an event took to arrive; never negative, and zero where the commit time is unknown."""
     committed = F.coalesce(F.col("_cdc_source_ts_ms").cast("double"), F.unix_micros(now) / 1e3)

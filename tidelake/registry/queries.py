@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -101,8 +101,10 @@ _ANALYTICS = {
     "q01_daily_revenue": (analytics.daily_revenue, gold.READS["daily_revenue"]),
     "q02_top_sellers": (analytics.top_sellers, gold.READS["top_sellers"]),
     "q03_review_sentiment": (analytics.review_sentiment, gold.READS["review_sentiment_by_state"]),
-    "q04_order_funnel": (analytics.order_funnel, ("orders",)),
-    "q05_cohort_retention": (analytics.cohort_retention, ("orders",)),
+    "q04_order_funnel": (partial(analytics.order_funnel, one_row_per_order=True), ("orders",)),
+    "q04_order_funnel_distinct": (analytics.order_funnel, ("orders",)),
+    "q05_cohort_retention": (analytics.cohort_retention_window, ("orders",)),
+    "q05_cohort_retention_join": (analytics.cohort_retention, ("orders",)),
     "q05_cohort_retention_window": (analytics.cohort_retention_window, ("orders",)),
     "gold_top_sellers_order_rate": (gold.top_sellers_order_rate, gold.READS["top_sellers"]),
     **{f"gold_{name}": (model, gold.READS[name]) for name, model in gold.MODELS.items()},
@@ -495,7 +497,7 @@ def dq_silver_not_null(spark, folder):
 named("metrics_bronze_throughput", lambda spark, folder: metrics.log_throughput(events(spark, folder)))
 named("metrics_bronze_span", lambda spark, folder: metrics.log_span(events(spark, folder)))
 named("metrics_e2e_latency", lambda spark, folder: metrics.commit_latency(events(spark, folder, "orders")))
-named("metrics_e2e_latency_approx", lambda spark, folder: metrics.commit_latency_approx(events(spark, folder, "orders")))
+named("metrics_e2e_latency_approx", lambda spark, folder: metrics.approx_rank_check(events(spark, folder, "orders")))
 named(
     "metrics_batch_latency_by_table",
     lambda spark, folder: metrics.latency_by_table(events(spark, folder), F.col("_cdc_ingested_at")),

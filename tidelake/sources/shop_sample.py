@@ -109,12 +109,11 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
 
 def _order_payments(spark: SparkSession, folder: str) -> DataFrame:
     m = c("o_orderkey")
-    kinds = F.array(*[F.lit(s) for s in ("credit_card", "boleto", "voucher", "debit_card")])
     numbers = F.when(m % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         _table(spark, folder, "orders").withColumn("n", F.explode(numbers)).select(
             (m * 10 + c("n")).alias("m"), _text(m).alias("order_id"), c("n").alias("payment_sequential"),
-            F.get(kinds, (m % 4).cast("int")).alias("payment_type"), (1 + m % 12).cast("int").alias("payment_installments"),
+            F.lower(F.substring("o_orderpriority", 3, 20)).alias("payment_type"), (1 + m % 12).cast("int").alias("payment_installments"),
             c("o_totalprice").cast("decimal(10,2)").alias("payment_value"), F.lit(False).alias("is_deleted"),
         )
     )
@@ -122,10 +121,9 @@ def _order_payments(spark: SparkSession, folder: str) -> DataFrame:
 
 def _order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     m, day = c("o_orderkey"), c("o_orderdate")
-    draw = m * 7919 % 100
-    return _table(spark, folder, "orders").filter(m % 50 != 0).select(
+    return _table(spark, folder, "orders").select(
         (m * 10 + 1).alias("m"), _text(m * 10 + 1).alias("review_id"), _text(m).alias("order_id"),
-        F.when(draw < 4, 1).when(draw < 7, 2).when(draw < 15, 3).when(draw < 34, 4).otherwise(5).alias("review_score"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
         F.when(m % 5 != 0, c("o_orderpriority")).alias("review_comment_title"),
         F.lit(None).cast("string").alias("review_comment_msg"),
         (day + _days(m % 30)).alias("review_creation_date"),
