@@ -37,7 +37,7 @@ def lake(spark, tmp_path_factory):
         source = spark.createDataFrame(rows, ENTITIES[name].source)
         load_snapshot(lake, name, source, "load", T(2024, 1, 1), f"shop.public.{name}")
     merge_new_events(lake, EPOCH, "load")
-    refresh_reports(lake, "load")
+    refresh_reports(lake)
     return lake
 
 

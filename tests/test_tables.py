@@ -1,106 +1,115 @@
-"""Versioned tables: publishing, earlier versions, buckets, repeats, failed attempts."""
+"""Stored state and reports: appends, repeats, competing writers, resolution, compaction, plans."""
 
-import os
+import datetime as dt
+import itertools
 
 import pytest
-from pyspark.sql import functions as F
-
-from tidelake.schemas import struct, LONG, TEXT
-from tidelake.sources.tables import VersionedTable
-
-SCHEMA = struct(id=LONG, v=TEXT)
-
-
-def rows(spark, ids, value):
-    return spark.range(0).select("id").union(spark.createDataFrame([(i,) for i in ids], "id bigint")).withColumn("v", F.lit(value))
-
-
-def content(table, **how):
-    return sorted((r.id, r.v) for r in table.read(**how).collect())
-
-
-def test_versions_and_time_travel(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4)
-    assert table.read().isEmpty() and table.versions() == [] and table.is_empty()
-    everyone = list(range(40))
-    first = rows(spark, everyone, "a")
-    assert table.publish(first, table.touched_by(first), "load") == 1
-    change = rows(spark, [3], "b")
-    touched = table.touched_by(change)
-    assert len(touched) == 1
-    same_bucket = table.read(only=touched)
-    merged = same_bucket.filter("id != 3").unionByName(change)
-    assert table.publish(merged, touched, "change") == 2
-    assert content(table) == sorted([(i, "b" if i == 3 else "a") for i in everyone])
-    assert content(table, as_of=1) == [(i, "a") for i in everyone]
-    assert table.note()["places"][str(touched[0])] == 2 and sorted(table.note()["places"].values()) == [1, 1, 1, 2]
-    # Only the bucket of the changed key was written.
-    assert [n for n in os.listdir(f"{tmp_path}/t/version=2") if n.startswith("bucket=")] == [f"bucket={touched[0]}"]
-
-
-def test_a_repeated_publish_does_nothing_and_a_failed_one_is_invisible(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 2)
-    table.publish(rows(spark, [1, 2], "a"), [0, 1], "batch 0")
-    assert table.publish(rows(spark, [9], "z"), [0, 1], "batch 0") == 1
-    assert content(table) == [(1, "a"), (2, "a")]
-    # Files of an attempt that never got its note.
-    rows(spark, [7], "half").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{tmp_path}/t/version=2")
-    assert content(table) == [(1, "a"), (2, "a")]
-    assert table.publish(rows(spark, [1, 2, 3], "b"), [0, 1], "batch 1") == 2
-    assert content(table) == [(1, "b"), (2, "b"), (3, "b")]
-
-
-def test_replace_all_and_a_bucket_that_became_empty(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4)
-    table.publish(rows(spark, range(20), "a"), range(4), "1")
-    table.publish(rows(spark, [5], "b"), (), "2", replace_all=True)
-    assert content(table) == [(5, "b")]
-    table.publish(rows(spark, [], "c"), range(4), "3")
-    assert content(table) == [] and table.read().schema.names == ["id", "v"]
-
-
-def test_bucket_count_is_part_of_the_table(spark, tmp_path):
-    VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4).publish(rows(spark, [1], "a"), range(4), "1")
-    with pytest.raises(ValueError):
-        VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 8).read()
-
-
-def test_one_file_per_task_and_bucket_after_a_join_on_the_key(spark, tmp_path):
-    """Buckets use the exchange's own hash, so a join's output needs no exchange to be written."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4)
-        left, right = spark.range(1000), spark.range(1000).withColumn("v", F.lit("a"))
-        table.publish(left.join(right, "id", "full_outer").select("id", "v"), range(4), "1")
-        for bucket in range(4):
-            files = [f for f in os.listdir(f"{tmp_path}/t/version=1/bucket={bucket}") if f.endswith(".parquet")]
-            assert len(files) == 2  # 8 shuffle partitions over 4 buckets
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_expired_versions_leave_current_rows(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", SCHEMA, ["id"], 4)
-    everyone = rows(spark, range(40), "a")
-    table.publish(everyone, range(4), "load")
-    for i in range(1, 5):
-        change = rows(spark, [3], f"b{i}")
-        touched = table.touched_by(change)
-        table.publish(table.read(only=touched).filter("id != 3").unionByName(change), touched, f"change {i}")
-    assert table.expire(keep=2) == [1, 2, 3] and table.versions() == [4, 5]
-    assert content(table) == sorted([(i, "b4" if i == 3 else "a") for i in range(40)])
-    assert dict(content(table, as_of=4))[3] == "b3" and table.read(as_of=3).isEmpty()
-    # Untouched buckets still live where version 1 put them; replaced copies are gone.
-    assert len([n for n in os.listdir(f"{tmp_path}/t/version=1") if n.startswith("bucket=")]) == 3
-    assert [n for n in os.listdir(f"{tmp_path}/t/version=2") if n.startswith("bucket=")] == []
-    assert table.expire(keep=2) == []
-
-
-def test_two_writers_cannot_both_have_a_version(spark, tmp_path):
-    from tidelake.sources.storage import write_text
-
-    write_text(spark, f"{tmp_path}/note.json", "1")
-    with pytest.raises(OSError):
-        write_text(spark, f"{tmp_path}/note.json", "2")
+
+from tidelake.schemas import ENTITIES
+from tidelake.sources.tables import ReportTable, StateTable
+
+SELLERS = ENTITIES["sellers"]
+NOW = dt.datetime(2024, 1, 1)
+
+
+def batch(spark, *rows):
+    """Staged rows from (id, city, time, op)."""
+    values = [
+        tuple({"seller_id": i, "seller_city": city}.get(c) for c in SELLERS.columns) + (op, at, at, op == "d", NOW)
+        for i, city, at, op in rows
+    ]
+    return spark.createDataFrame(values, SELLERS.state)
+
+
+def content(table):
+    return sorted((r.seller_id, r.seller_city, r.is_deleted) for r in table.read().collect())
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return StateTable(spark, f"{tmp_path}/sellers", SELLERS, 2)
+
+
+def test_empty(table):
+    assert table.read().isEmpty() and table.read().schema.names == SELLERS.state.names and table.parts() == []
+
+
+def test_changes_in_any_order_and_split(spark, tmp_path):
+    changes = [("a", "one", 1, "r"), ("a", "two", 2, "u"), ("b", "x", 1, "r"), ("b", "x", 3, "d"), ("c", "late", 5, "c")]
+    want = [("a", "two", False), ("b", "x", True), ("c", "late", False)]
+    for k, order in enumerate(itertools.islice(itertools.permutations(changes), 0, 120, 40)):
+        table = StateTable(spark, f"{tmp_path}/{k}", SELLERS, 2)
+        for n, change in enumerate(order):
+            table.append(batch(spark, change), f"b{n}")
+            if n == k + 1:
+                table.compact()
+        assert content(table) == want
+        table.compact()
+        assert content(table) == want and [p[:5] for p in table.parts()] == ["base-"]
+
+
+def test_a_repeated_batch_is_added_once(spark, table):
+    first = table.append(batch(spark, ("a", "one", 1, "r")), "run/1")
+    assert table.append(batch(spark, ("a", "one", 1, "r")), "run/1") == first
+    assert table.append(batch(spark, ("a", "two", 2, "u")), "run/10") != first
+    assert len(table.parts()) == 2
+    assert table.append(batch(spark), "empty") is None and len(table.parts()) == 2
+
+
+def test_a_second_writer_takes_nothing_from_the_first(spark, tmp_path):
+    one, other = (StateTable(spark, f"{tmp_path}/t", SELLERS, 2) for _ in range(2))
+    one.append(batch(spark, ("a", "one", 1, "r"), ("b", "one", 1, "r")), "same name")
+    listed = one.parts()  # the first compaction lists here, and ends after the second one has
+    other.append(batch(spark, ("c", "other", 1, "r")), "other")
+    other.compact()
+    one._fold(one._newest(one._read(other.parts())), listed)
+    want = [("a", "one", False), ("b", "one", False), ("c", "other", False)]
+    assert content(one) == content(other) == want
+    one.compact()
+    assert content(one) == want and len(one.parts()) == 1
+
+
+def test_an_attempt_without_its_mark_is_repeated(spark, table, tmp_path):
+    batch(spark, ("a", "half", 1, "r")).write.parquet(f"{tmp_path}/sellers/change-b-lost")
+    (tmp_path / "sellers" / "change-b-lost" / "_SUCCESS").unlink()
+    assert content(table) == []
+    table.append(batch(spark, ("a", "whole", 1, "r")), "b")
+    assert content(table) == [("a", "whole", False)]
+
+
+def test_replace(spark, table):
+    table.append(batch(spark, ("a", "one", 1, "r")), "1")
+    table.replace(batch(spark, ("z", "new", 2, "r")))
+    assert content(table) == [("z", "new", False)]
+
+
+def test_a_small_batch_neither_rewrites_nor_exchanges_the_base(spark, table):
+    import os
+
+    rows = [(str(i), "old", 1, "r") for i in range(2000)]
+    table.append(batch(spark, *rows), "load")
+    table.compact()
+    base = table.parts("base-")
+    files = {f: os.stat(f"{table.root}/{base[0]}/{f}").st_mtime_ns for f in os.listdir(f"{table.root}/{base[0]}")}
+    table.append(batch(spark, ("7", "new", 2, "u"), ("x", "new", 2, "c"), ("8", "late", 0, "u")), "small")
+    assert files == {f: os.stat(f"{table.root}/{base[0]}/{f}").st_mtime_ns for f in os.listdir(f"{table.root}/{base[0]}")}
+    read = table.read()
+    assert read.count() == 2001
+    got = {r.seller_id: r.seller_city for r in read.collect()}
+    assert (got["7"], got["8"], got["x"]) == ("new", "old", "new")
+    kept = read._jdf.queryExecution().executedPlan().toString()
+    first = kept.split("Union", 1)[1]
+    assert "BroadcastHashJoin" in first.split("Scan parquet", 1)[0] and "Exchange hash" not in first.split("Scan parquet", 1)[0]
+
+
+def test_reports_are_replaced_whole(spark, tmp_path):
+    from tidelake.schemas import GOLD
+
+    schema = GOLD["order_funnel"]
+    table = ReportTable(spark, f"{tmp_path}/r", schema)
+    assert table.read().isEmpty() and table.place() is None
+    rows = [spark.createDataFrame([(NOW, n, *[0] * 5, 0.0)], schema) for n in range(4)]
+    for n, row in enumerate(rows):
+        table.publish(row)
+        assert [r.total_created for r in table.read().collect()] == [n]
+    assert len(table.parts()) == 2 and table.place().endswith(table.parts()[-1])

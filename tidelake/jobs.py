@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import argparse
 import os
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from tidelake.plans.pipeline import EPOCH, Lakehouse, load_snapshot, merge_new_events, rebuild, refresh_reports
-from tidelake.schemas import ENTITIES
+from tidelake.plans.pipeline import EPOCH, Lakehouse, compact, load_snapshot, merge_new_events, rebuild, refresh_reports
+from tidelake.schemas import ENTITIES, GOLD
 from tidelake.session import build_session
-from tidelake.sources.catalog import create_event_tables, create_state_tables
+from tidelake.sources.catalog import create_event_tables, create_state_tables, name_log, name_reports, name_state
 from tidelake.sources.files import load_csv
 from tidelake.sources.jdbc import read_table
 from tidelake.sources.kafka import read_topics, topics
@@ -26,7 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     def command(name: str, text: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the three layers")
-        sub.add_argument("--buckets", type=int, default=8, help="parts a current-state table is rewritten in")
+        sub.add_argument("--buckets", type=int, default=8, help="files that a compaction of a table writes")
         return sub
 
     init = command("init-tables", "declare the tables of the log and of the current state")
@@ -55,6 +55,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     merge.add_argument("--watermark", type=datetime.fromisoformat, default=EPOCH)
     merge.add_argument("--refresh", action="store_true", help="refresh the reports afterwards")
 
+    command("compact", "fold what merges have appended to current state")
     command("rebuild", "replace current state by what the whole log gives")
     command("refresh", "refresh all reports")
 
@@ -62,6 +63,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--every", default="30 seconds")
     follow.add_argument("--max-files", type=int)
+    follow.add_argument("--once", action="store_true", help="work off what is new since the checkpoint, refresh, and stop")
+    follow.add_argument("--refresh-every", type=int, default=0, help="seconds between refreshes of the reports at least")
     return parser.parse_args(argv)
 
 
@@ -70,6 +73,13 @@ def password(args: argparse.Namespace) -> str:
     return Path(args.password_file).read_text().strip() if args.password_file else os.environ["PGPASSWORD"]
 
 
+def name_tables(lake: Lakehouse) -> None:
+    """Names for SQL text: ``bronze.orders``, ``silver.orders``, ``gold.daily_revenue`` and so on."""
+    name_log(lake.spark, lake.log_root)
+    name_state(lake.spark, f"{lake.root}/silver")
+    name_reports(lake.spark, {name: lake.report_table(name).place() for name in GOLD})
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lakehouse(spark, args.root, args.buckets)
     now = datetime.now(timezone.utc)
@@ -89,16 +99,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             if name in ENTITIES:
                 load_snapshot(lake, name, rows, made_by, now, f"{args.topic_prefix}.{name}")
     elif args.command == "merge":
-        changed = [name for name, version in merge_new_events(lake, args.watermark, made_by).items() if version]
+        changed = [name for name, part in merge_new_events(lake, args.watermark, made_by).items() if part]
         if args.refresh:
-            refresh_reports(lake, made_by, changed)
+            refresh_reports(lake, changed)
+    elif args.command == "compact":
+        compact(lake)
     elif args.command == "rebuild":
-        rebuild(lake, made_by)
-        refresh_reports(lake, made_by)
+        rebuild(lake)
+        refresh_reports(lake)
     elif args.command == "refresh":
-        refresh_reports(lake, made_by)
+        refresh_reports(lake)
     elif args.command == "follow":
-        start_state(lake, args.checkpoint, {"processingTime": args.every}, args.max_files).awaitTermination()
+        trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
+        every = timedelta(days=1) if args.once else timedelta(seconds=args.refresh_every)
+        start_state(lake, args.checkpoint, trigger, args.max_files, refresh=not args.once, refresh_every=every).awaitTermination()
+        if args.once:
+            refresh_reports(lake)
+    if args.command not in ("ingest", "follow") or getattr(args, "once", False):
+        name_tables(lake)
 
 
 if __name__ == "__main__":

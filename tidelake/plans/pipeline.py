@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidelake.operators.envelope import snapshot_events
 from tidelake.operators.extract import extract
 from tidelake.operators.latest import latest_change
-from tidelake.operators.merge import merge
 from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
 from tidelake.sources.event_log import append_events, read_events, read_new_events
-from tidelake.sources.tables import VersionedTable
+from tidelake.sources.tables import ReportTable, StateTable
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -54,8 +53,7 @@ def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iter
 class Lakehouse:
     """The three layers below one root folder.
 
-    ``buckets`` is the number of parts a current-state table can be rewritten in. Choose it so that
-    a part is a few gigabytes, and ``spark.sql.shuffle.partitions`` as a multiple of it.
+    ``buckets`` is the number of files that a compaction of a current-state table writes.
     """
 
     spark: SparkSession
@@ -67,18 +65,23 @@ class Lakehouse:
     def log_root(self) -> str:
         return f"{self.root}/bronze"
 
-    def state_table(self, name: str) -> VersionedTable:
-        entity = self.entities[name]
-        return VersionedTable(self.spark, f"{self.root}/silver/{name}", entity.state, entity.key, self.buckets)
+    def state_table(self, name: str) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/silver/{name}", self.entities[name], self.buckets)
 
-    def report_table(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/gold/{name}", GOLD[name])
+    def report_table(self, name: str) -> ReportTable:
+        return ReportTable(self.spark, f"{self.root}/gold/{name}", GOLD[name])
 
     def events(self, table: str | None = None) -> DataFrame:
         return read_events(self.spark, self.log_root, table)
 
-    def state(self, name: str, as_of: int | None = None) -> DataFrame:
-        return self.state_table(name).read(as_of)
+    def state(self, name: str) -> DataFrame:
+        return self.state_table(name).read()
+
+    def state_as_of(self, name: str, moment: datetime, updated_at: Column | None = None) -> DataFrame:
+        """What the events ingested up to a moment give."""
+        upto = F.lit(moment.isoformat()).cast("timestamp")
+        seen = self.events(name).filter((F.col("ingest_date") <= F.to_date(upto)) & (F.col("_cdc_ingested_at") <= upto))
+        return stage(seen, self.entities[name], updated_at)
 
     def tables(self) -> OnDemand:
         return OnDemand(self.entities, self.state)
@@ -98,63 +101,46 @@ def load_snapshot(lake: Lakehouse, name: str, rows: DataFrame, run_id: str, load
     append_events(snapshot_events(rows, name, topic, moment), lake.log_root, run_id, 0, even_out=False)
 
 
-def apply_events(
-    lake: Lakehouse, name: str, events: DataFrame, made_by: str, updated_at: Column | None = None, **rules
-) -> int | None:
-    """Merge new events into a current-state table; returns its version, or None without events.
+def apply_events(lake: Lakehouse, name: str, events: DataFrame, made_by: str, updated_at: Column | None = None) -> str | None:
+    """Append the newest row per key of new events to a current-state table.
 
-    Only the buckets that hold changed keys are read and rewritten. Into an empty table the newest
-    rows are written as they are. What ``made_by`` has already published is not done again.
+    The table itself is neither read nor rewritten. Returns the part's name, or None without rows;
+    what ``made_by`` has already appended is not done again.
     """
-    entity, table = lake.entities[name], lake.state_table(name)
-    last = table.note()
-    if last["made_by"] == made_by:
-        return last["version"]
-    staged = stage(events, entity, updated_at)
-    if not last["places"]:
-        return table.publish(staged, (), made_by) if not events.isEmpty() else None
-    staged = staged.persist()
-    try:
-        touched = table.touched_by(staged)
-        if not touched:
-            return None
-        merged = merge(table.read(only=touched), staged, entity, **rules)
-        return table.publish(merged, touched, made_by)
-    finally:
-        staged.unpersist()
+    return lake.state_table(name).append(stage(events, lake.entities[name], updated_at), made_by)
 
 
 def merge_new_events(
-    lake: Lakehouse, watermark: datetime, made_by: str, updated_at: Column | None = None,
-    names: Iterable[str] | None = None, **rules,
-) -> dict[str, int | None]:
+    lake: Lakehouse, watermark: datetime, made_by: str, updated_at: Column | None = None, names: Iterable[str] | None = None
+) -> dict[str, str | None]:
     """Merge what was ingested after ``watermark`` into each table."""
 
-    def one(name: str) -> int | None:
-        new = read_new_events(lake.spark, lake.log_root, name, watermark)
-        return apply_events(lake, name, new, made_by, updated_at, **rules)
+    def one(name: str) -> str | None:
+        return apply_events(lake, name, read_new_events(lake.spark, lake.log_root, name, watermark), made_by, updated_at)
 
     return side_by_side(lake.spark, one, names or lake.entities)
 
 
-def rebuild(
-    lake: Lakehouse, made_by: str, updated_at: Column | None = None, names: Iterable[str] | None = None
-) -> dict[str, int]:
+def compact(lake: Lakehouse, names: Iterable[str] | None = None) -> dict[str, str | None]:
+    """Fold what batches have appended to current-state tables."""
+    return side_by_side(lake.spark, lambda name: lake.state_table(name).compact(), names or lake.entities)
+
+
+def rebuild(lake: Lakehouse, updated_at: Column | None = None, names: Iterable[str] | None = None) -> dict[str, str]:
     """Replace current-state tables by what the whole event log gives."""
 
-    def one(name: str) -> int:
-        rows = stage(lake.events(name), lake.entities[name], updated_at)
-        return lake.state_table(name).publish(rows, (), made_by, replace_all=True)
+    def one(name: str) -> str:
+        return lake.state_table(name).replace(stage(lake.events(name), lake.entities[name], updated_at))
 
     return side_by_side(lake.spark, one, names or lake.entities)
 
 
-def refresh_reports(lake: Lakehouse, made_by: str, changed: Iterable[str] | None = None) -> dict[str, int]:
+def refresh_reports(lake: Lakehouse, changed: Iterable[str] | None = None) -> dict[str, str]:
     """Recompute stored reports, all or those that read a changed table; returns when readable."""
     changed = set(lake.entities if changed is None else changed)
     tables = lake.tables()
 
-    def one(name: str) -> int:
-        return lake.report_table(name).publish(gold.MODELS[name](tables), [0], made_by, replace_all=True)
+    def one(name: str) -> str:
+        return lake.report_table(name).publish(gold.MODELS[name](tables))
 
     return side_by_side(lake.spark, one, [name for name in gold.MODELS if changed & set(gold.READS[name])])

@@ -15,7 +15,7 @@ from tidelake.operators import (
 from tidelake.operators.envelope import MALFORMED
 from tidelake.plans import analytics, gold, metrics, quality
 from tidelake.plans.pipeline import (
-    EPOCH, Lakehouse, apply_events, merge_new_events, rebuild, refresh_reports, side_by_side, stage,
+    EPOCH, Lakehouse, apply_events, compact, merge_new_events, rebuild, refresh_reports, side_by_side, stage,
 )
 from tidelake.schemas import CLOCK, DAY, ENTITIES, FOREIGN_KEYS
 from tidelake.session import configure, scratch_folder
@@ -118,7 +118,7 @@ def stored_reports(spark: SparkSession, folder: str, *names: str) -> dict[str, D
     lake = Lakehouse(spark, scratch_folder(spark, "reports"), SHARED_BUCKETS)
     for name in names:
         rows = gold.MODELS[name](shop.current_tables(spark, folder, gold.READS[name]))
-        lake.report_table(name).publish(rows, [0], "load", replace_all=True)
+        lake.report_table(name).publish(rows)
     return {name: lake.report_table(name).read() for name in names}
 
 
@@ -394,10 +394,14 @@ def silver_row_counts(spark, folder):
 
 @query
 def silver_as_of(spark, folder):
-    """Orders as they were after each of the three published versions."""
-    lake = published(spark, folder, ("orders",))
+    """Orders as the log has them after each of three batches, ingested a minute apart."""
+    lake = Lakehouse(spark, scratch_folder(spark, "as-of"), SHARED_BUCKETS)
+    records = shop.changes(spark, folder, "orders")
+    minute = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("batch") * 60)
+    append_events(events_of(parse_records(records.withColumn("timestamp", minute), F.col("timestamp"))), lake.log_root, "load", 0)
     versions = [
-        lake.state("orders", as_of=v).select(F.lit(v).alias("version"), "order_id", "status", "is_deleted", "_cdc_op")
+        lake.state_as_of("orders", datetime(2024, 1, 1, 0, v), updated_at(v))
+        .select(F.lit(v).alias("version"), "order_id", "status", "is_deleted", "_cdc_op")
         for v in (1, 2, 3)
     ]
     return reduce(DataFrame.unionByName, versions)
@@ -408,6 +412,7 @@ def silver_incremental_merge(spark, folder):
     """Only events past the watermark are merged, into a table that already has the earlier ones."""
     lake = filled_log(spark, folder, ("orders",), "watermark")
     merge_new_events(lake, EPOCH, "first", updated_at(1), ("orders",))
+    compact(lake, ("orders",))
     merge_new_events(lake, WATERMARK, "second", updated_at(2), ("orders",))
     return order_state(lake.state("orders")).drop("_silver_updated_at")
 
@@ -415,7 +420,7 @@ def silver_incremental_merge(spark, folder):
 @query
 def silver_full_rebuild(spark, folder):
     lake = filled_log(spark, folder, ("orders",), "rebuild")
-    rebuild(lake, "rebuild", updated_at(0), ("orders",))
+    rebuild(lake, updated_at(0), ("orders",))
     return order_state(lake.state("orders")).drop("_silver_updated_at")
 
 
@@ -448,7 +453,7 @@ def gold_batch_refresh(spark, folder):
     names = ("orders", "order_items", "products")
     lake = filled_log(spark, folder, names, "batch")
     merge_new_events(lake, EPOCH, "first", updated_at(1), names)
-    refresh_reports(lake, "first", ("products",))
+    refresh_reports(lake, ("products",))
     return lake.reports()["daily_revenue"]
 
 

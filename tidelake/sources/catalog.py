@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT, Entity
+from tidelake.sources.storage import child_names, exists
 
 # The column a partition transform is stored in.
 LAYOUT_COLUMN = {"month": "{}_month", "day": "{}_day", "bucket": "{}_bucket", "identity": "{}"}
@@ -68,3 +69,41 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[st
     for name, rows in tables.items():
         rows.createOrReplaceTempView(f"{prefix}{name}")
     return [f"{prefix}{name}" for name in tables]
+
+
+def name_log(spark: SparkSession, log_root: str, database: str = "bronze") -> list[str]:
+    """Names for the log's folders. A view over a folder sees what was appended since, no partition
+    needs to be registered."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    named = [t for t in ENTITIES if exists(spark, f"{log_root}/source_table={t}")]
+    for table in named:
+        _view(spark, database, table, f"SELECT * FROM parquet.`{log_root}/source_table={table}`")
+    return named
+
+
+def name_state(spark: SparkSession, state_root: str, database: str = "silver") -> list[str]:
+    """Names for current state: the newest row per key over all parts, also those added later."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    named = [e for e in ENTITIES.values() if child_names(spark, f"{state_root}/{e.name}")]
+    for entity in named:
+        columns, key = ", ".join(entity.state.names), ", ".join(entity.key)
+        newest = "_cdc_source_ts_ms DESC NULLS LAST, _cdc_op <> 'r' DESC NULLS LAST, _cdc_offset DESC NULLS LAST, _silver_updated_at"
+        ranked = f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {newest}) AS __rank FROM parquet.`{state_root}/{entity.name}/*`"
+        _view(spark, database, entity.name, f"SELECT {columns} FROM ({ranked}) WHERE __rank = 1")
+    return [e.name for e in named]
+
+
+def name_reports(spark: SparkSession, places: Mapping[str, str | None], database: str = "gold") -> list[str]:
+    """Names for stored reports, pointed at the folders they now lie in."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    named = {name: place for name, place in places.items() if place}
+    for name, place in named.items():
+        _view(spark, database, name, f"SELECT * FROM parquet.`{place}`")
+    return list(named)
+
+
+def _view(spark: SparkSession, database: str, name: str, text: str) -> None:
+    # A declared table of that name gives way to the view, which has the data.
+    if any(t.name == name and t.tableType != "VIEW" for t in spark.catalog.listTables(database)):
+        spark.sql(f"DROP TABLE {database}.{name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")

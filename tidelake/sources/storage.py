@@ -20,28 +20,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _path(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A new file, written aside and renamed, so that a reader sees the whole file or none."""
-    fs, p = _path(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
-    stream = fs.create(aside, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
-    if fs.exists(p) or not fs.rename(aside, p):
-        raise OSError(f"could not write {path}")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)

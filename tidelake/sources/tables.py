@@ -1,105 +1,128 @@
-"""Parquet tables that are replaced bucket by bucket, with earlier versions kept readable."""
+"""Stored current state and stored reports, as folders of parquet that are never overwritten."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable
+import re
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidelake.functions.layout import bucket_of
-from tidelake.sources.storage import child_names, exists, read_text, remove, write_text
+from tidelake.operators.latest import latest_per_key, recency
+from tidelake.schemas import Entity
+from tidelake.sources.storage import child_names, exists, remove
 
+_DONE = "_SUCCESS"
 
-class VersionedTable:
-    """``root/version=V/bucket=B/*.parquet`` plus one small note per version.
 
-    A version holds only the buckets it rewrote; its note says, for every bucket, which version has
-    the rows. The note is written last, so a version is either complete or not there, no path that
-    is being read is ever written to, and a failed attempt leaves nothing a reader would see.
-    Rows go to buckets by a hash of the key, so a small change rewrites a small part of the table.
-    A table has one writer at a time; a second one fails when it finds its version taken.
-    """
+class Parts:
+    """``root/<part>/*.parquet``. Every attempt to write has a folder of its own, so a repeated, lost
+    or competing attempt never touches another one's rows. Complete parts carry Spark's own mark."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: Iterable[str] = (), buckets: int = 1):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.key, self.buckets = tuple(key), buckets if key else 1
-
-    def bucket_column(self):
-        return bucket_of(self.buckets, *[F.col(c) for c in self.key]) if self.key else F.lit(0)
-
-    def versions(self) -> list[int]:
-        names = child_names(self.spark, f"{self.root}/_notes")
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def note(self, as_of: int | None = None) -> dict:
-        """The note of the newest version, or of the newest one not after ``as_of``."""
-        known = [v for v in self.versions() if as_of is None or v <= as_of]
-        if not known:
-            return {"version": 0, "buckets": self.buckets, "made_by": None, "places": {}}
-        note = json.loads(read_text(self.spark, f"{self.root}/_notes/{known[-1]:012d}.json"))
-        if note["buckets"] != self.buckets:
-            raise ValueError(f"{self.root} has {note['buckets']} buckets, not {self.buckets}")
-        return note
-
-    def read(self, as_of: int | None = None, only: Iterable[int] | None = None) -> DataFrame:
-        """Current rows, rows as of a version, or the rows of some buckets."""
-        places = self.note(as_of)["places"]
-        wanted = places if only is None else {str(b) for b in only} & places.keys()
-        paths = [f"{self.root}/version={places[b]}/bucket={b}" for b in sorted(wanted, key=int)]
-        if not paths:
+
+    def parts(self, kind: str = "") -> list[str]:
+        names = [n for n in child_names(self.spark, self.root) if n.startswith(kind)]
+        return sorted(n for n in names if exists(self.spark, f"{self.root}/{n}/{_DONE}"))
+
+    def _write(self, rows: DataFrame, name: str) -> str:
+        rows.select(*self.schema.names).write.parquet(f"{self.root}/{name}")
+        return name
+
+    def _read(self, names: list[str]) -> DataFrame:
+        if not names:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths).drop("version", "bucket")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{n}" for n in names])
 
-    def touched_by(self, rows: DataFrame) -> list[int]:
-        """Buckets that ``rows`` fall into: at most ``buckets`` numbers, whatever the number of rows."""
-        if not self.key:
-            return [0]
-        return sorted(r[0] for r in rows.select(self.bucket_column().alias("b")).distinct().collect())
+    def _drop(self, names: list[str]) -> None:
+        for name in names:
+            remove(self.spark, f"{self.root}/{name}")
 
-    def publish(self, rows: DataFrame, touched: Iterable[int], made_by: str, replace_all: bool = False) -> int:
-        """Make ``rows`` the content of the ``touched`` buckets and return the version number.
 
-        Other buckets stay, unless ``replace_all``. Publishing again under the same ``made_by``
-        right after it succeeded does nothing, so a repeated batch is harmless.
-        """
-        last = self.note()
-        if made_by == last["made_by"]:
-            return last["version"]
-        version = last["version"] + 1
-        (
-            rows.select(*self.schema.names, self.bucket_column().alias("bucket"))
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/version={version}")
-        )
-        places = {} if replace_all else dict(last["places"])
-        written = child_names(self.spark, f"{self.root}/version={version}")
-        held = {int(n.removeprefix("bucket=")) for n in written if n.startswith("bucket=")}
-        for bucket in touched:
-            places.pop(str(bucket), None)
-        places.update({str(b): version for b in held})
-        write_text(
-            self.spark, f"{self.root}/_notes/{version:012d}.json",
-            json.dumps({"version": version, "buckets": self.buckets, "made_by": made_by, "places": places}),
-        )
-        return version
-
-    def expire(self, keep: int = 10) -> list[int]:
-        """Forget all but the newest ``keep`` versions and remove the rows only those had.
-
-        Readers that still use a forgotten version must have finished.
+def _stamp() -> str:
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+
+
+class StateTable(Parts):
+    """One typed row per key, resolved when it is read.
+
+    A batch appends its newest row per key as a ``change`` part and leaves the rest of the table
+    alone. A reader takes the newest row of each key, so parts may come in any order, more than once
+    and from several writers. ``compact`` folds the parts it has listed into one ``base`` part and
+    then removes just those; ``replace`` does the same with rows made anew from the whole log.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, entity: Entity, files: int = 8):
+        super().__init__(spark, root, entity.state)
+        self.entity, self.files = entity, files
+
+    def append(self, staged: DataFrame, made_by: str) -> str | None:
+        """Add a batch; a batch of that name that is there already is not added again. None: no row."""
+        name = f"change-{re.sub('[^A-Za-z0-9]', '_', made_by)}-"
+        if there := self.parts(name):
+            return there[0]
+        counted = Observation()
+        part = self._write(staged.observe(counted, F.count(F.lit(1)).alias("n")), f"{name}{uuid.uuid4().hex[:12]}")
+        if counted.get["n"]:
+            return part
+        self._drop([part])
+        return None
+
+    def read(self) -> DataFrame:
+        base, changes = self.parts("base-"), self.parts("change-")
+        if len(base) == 1 and not changes:
+            return self._read(base)
+        if len(base) == 1:
+            return self._resolved(self._read(base), self._newest(self._read(changes)))
+        return self._newest(self._read(base + changes))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        order = [part.desc_nulls_last() for part in recency()]
+        return latest_per_key(rows, self.entity.key, [*order, F.col("_silver_updated_at").asc()])
+
+    def _resolved(self, base: DataFrame, staged: DataFrame) -> DataFrame:
+        """Base rows, replaced where a newer change is there, and the changes of other keys.
+
+        While the changes are few, Spark sends them to the base: it is neither exchanged nor sorted.
         """
-        known = self.versions()
-        gone, kept = known[:-keep], known[-keep:]
-        used = {(v, b) for version in kept for b, v in self.note(version)["places"].items()}
-        for version in gone:
-            remove(self.spark, f"{self.root}/_notes/{version:012d}.json")
-        for version in known if gone else []:
-            folder = f"{self.root}/version={version}"
-            held = [n.removeprefix("bucket=") for n in child_names(self.spark, folder) if n.startswith("bucket=")]
-            for bucket in held:
-                if (version, bucket) not in used:
-                    remove(self.spark, f"{folder}/bucket={bucket}")
-        return gone
-
-    def is_empty(self) -> bool:
-        return not exists(self.spark, f"{self.root}/_notes") or not self.versions()
+        key = list(self.entity.key)
+        old, new = base.alias("old"), staged.alias("new")
+        newer = F.col("new.is_deleted").isNotNull() & (F.struct(*recency("new")) > F.struct(*recency("old")))
+        joined = old.join(new, [F.col(f"old.{c}") == F.col(f"new.{c}") for c in key], "left")
+        kept = joined.select(*[F.when(newer, F.col(f"new.{n}")).otherwise(F.col(f"old.{n}")).alias(n) for n in self.schema.names])
+        known = base.select(*key).join(staged.select(*key), key, "left_semi")
+        return kept.unionByName(staged.join(known, key, "left_anti"))
+
+    def compact(self) -> str | None:
+        """Fold all parts into one. Readers that started before should have ended."""
+        listed = self.parts()
+        if len(listed) < 2 and not self.parts("change-"):
+            return None
+        return self._fold(self._newest(self._read(listed)), listed)
+
+    def replace(self, rows: DataFrame) -> str:
+        """Make ``rows``, which hold all that the listed parts hold, the whole table."""
+        return self._fold(rows, self.parts())
+
+    def _fold(self, rows: DataFrame, listed: list[str]) -> str:
+        part = self._write(rows.repartition(self.files, *self.entity.key), f"base-{_stamp()}")
+        self._drop(listed)
+        return part
+
+
+class ReportTable(Parts):
+    """A stored result that is replaced whole: the newest complete part is the table."""
+
+    def publish(self, rows: DataFrame, keep: int = 2) -> str:
+        part = self._write(rows, f"report-{_stamp()}")
+        self._drop(self.parts()[:-keep])  # the one before stays for readers that are at it
+        return part
+
+    def place(self) -> str | None:
+        """The folder of the newest part, for a catalog entry."""
+        names = self.parts()
+        return f"{self.root}/{names[-1]}" if names else None
+
+    def read(self) -> DataFrame:
+        return self._read(self.parts()[-1:])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,33 +19,34 @@ def start_state(
     max_files: int | None = None,
     updated_at: Column | None = None,
     refresh: bool = True,
-    **rules,
+    refresh_every: timedelta = timedelta(0),
 ) -> StreamingQuery:
-    """Merge log files as they appear, then refresh the reports that read a changed table.
+    """Merge log files as they appear, and refresh the reports that read a changed table.
 
     It runs when the log has files not seen before, whichever table they belong to, and advances
-    only after tables and reports are published.
+    only after tables and reports are published. Reports are refreshed at most once in
+    ``refresh_every``; tables changed since wait for the next refresh, or for the ``refresh`` job.
+    A batch is not kept: the log lies in a folder per table, and each table reads its own.
     """
+    waiting: set[str] = set()
+    last = [datetime.min]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         made_by = f"{query_id(batch)}/{batch_id}"
-        # Each table takes its part of the batch, so it is kept for the length of this call.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            known = batch.filter(F.col("source_table").isin(*lake.entities))
-            # At most one row per captured table.
-            present = {row[0] for row in known.select("source_table").distinct().collect()}
-            changed = [name for name in lake.entities if name in present]
-
-            def one(name: str) -> int | None:
-                part = batch.filter(F.col("source_table") == name)
-                return apply_events(lake, name, part, made_by, updated_at, **rules)
-
-            side_by_side(lake.spark, one, changed)
-            if refresh and changed:
-                refresh_reports(lake, made_by, changed)
-        finally:
-            batch.unpersist()
+        # A folder name per row, of which the captured tables' are kept: seven rows at most.
+        known = batch.filter(F.col("source_table").isin(*lake.entities)).select("source_table")
+        present = {row[0] for row in known.distinct().collect()}
+
+        def one(name: str) -> str | None:
+            return apply_events(lake, name, batch.filter(F.col("source_table") == name), made_by, updated_at)
+
+        changed = [name for name in lake.entities if name in present]
+        side_by_side(lake.spark, one, changed)
+        waiting.update(changed)
+        if refresh and waiting and datetime.now() - last[0] >= refresh_every:
+            refresh_reports(lake, waiting)
+            waiting.clear()
+            last[0] = datetime.now()
 
     return (
         stream_events(lake.spark, lake.log_root, max_files).writeStream
