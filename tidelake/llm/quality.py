@@ -146,7 +146,7 @@ def _with_lines(docs: DataFrame, host: str, text: str, shared: DataFrame, finish
     key = F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("")), F.col(host).isNull(), F.col(text))
     lined = map_batches(docs.select(key.alias("row"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text")), _row_lines, "row bigint, line_key bigint")
     found = lined.join(shared, "line_key", "left_semi").groupBy("row").agg(F.collect_set("line_key").alias("__shared"))
-    joined = docs.withColumn("__row", key).join(found.withColumnRenamed("row", "__row"), "__row", "left").select(*docs.columns, "__shared")
+    joined = docs.withColumn("__row", key).join(found.withColumnRenamed("row", "__row"), "__row", "left").select(*docs.columns, F.coalesce("__shared", F.array().cast("array<bigint>")).alias("__shared"))
     return map_batches(joined, _judged(docs.columns, host, text, finish, None), schema)
 
 
