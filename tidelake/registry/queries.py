@@ -21,7 +21,7 @@ from tidelake.schemas import CLOCK, DAY, ENTITIES, FOREIGN_KEYS
 from tidelake.session import configure, scratch_folder
 from tidelake.sources import shop_sample as shop
 from tidelake.sources.event_log import append_events, read_new_events
-from tidelake.sources.files import load_csv, read_record_files
+from tidelake.sources.files import EXPORT_FILES, load_csv, read_record_files
 from tidelake.streaming import start_ingest, start_state
 from tidelake.streaming.ingest import DRAIN
 
@@ -312,6 +312,34 @@ def csv_load_roundtrip(spark, folder):
     return load_csv(spark, exports)["orders"]
 
 
+@query
+def csv_load_exports(spark, folder):
+    """All seven exports written and loaded: rows, filled fields, characters of the reviews' texts.
+
+    Reviews carry a text with quotes and a line break, made of their key.
+    """
+    exports = scratch_folder(spark, "exports")
+
+    def export(name: str) -> None:
+        entity = ENTITIES[name]
+        rows = shop.mapped(spark, folder, name)
+        if name == "order_reviews":
+            text = F.concat(F.lit('said "'), F.col("m").cast("string"), F.lit('"\nand, then, no more'))
+            rows = rows.withColumn("review_comment_msg", text)
+        rows.select(*[F.col(c).alias(entity.source_field(c)) for c in entity.columns]).write.csv(
+            f"{exports}/{EXPORT_FILES[name]}", header=True, nullValue="", escape='"', quote='"'
+        )
+
+    side_by_side(spark, export, ENTITIES)
+    counted = []
+    for name, rows in load_csv(spark, exports).items():
+        filled = reduce(lambda a, b: a + b, [F.count(c) for c in rows.columns])
+        chars = F.sum(F.length("review_comment_msg")) if name == "order_reviews" else F.lit(0)
+        counted.append(rows.agg(F.count("*").alias("row_count"), filled.alias("filled_fields"), chars.cast("bigint").alias("text_chars"))
+                       .select(F.lit(name).alias("table_name"), "row_count", "filled_fields", "text_chars"))
+    return reduce(DataFrame.unionByName, counted)
+
+
 # ---- merge --------------------------------------------------------------------------------------
 
 
@@ -462,14 +490,12 @@ def gold_batch_refresh(spark, folder):
 
 @query
 def dq_gold_not_null(spark, folder):
-    tables = shop.current_tables(spark, folder)
-    return quality.gold_not_null({name: model(tables) for name, model in gold.MODELS.items()})
+    return quality.gold_not_null(stored_reports(spark, folder, *gold.MODELS))
 
 
 @query
 def dq_gold_unique(spark, folder):
-    tables = shop.current_tables(spark, folder)
-    return quality.gold_unique({name: model(tables) for name, model in gold.MODELS.items()})
+    return quality.gold_unique(stored_reports(spark, folder, *gold.MODELS))
 
 
 @query
