@@ -90,6 +90,8 @@ def test_watermark_is_strict_and_prunes_days(spark, tmp_path):
     plan = next_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and "PushedFilters: [IsNotNull(_cdc_ingested_at)" in plan
     assert len(next_day.inputFiles()) >= 1 and next_day.count() == 1
+    assert all("ingest_date=2024-01-02" in f for f in next_day.inputFiles())  # older days are not even listed
+    assert read_new_events(spark, root, "sellers", dt.datetime(2024, 1, 3)).isEmpty()
 
 
 def test_snapshot_rows_survive_the_round_trip(spark):

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.schemas import EVENT_FILE, EVENT_FOLDERS
-from tidelake.sources.storage import exists
+from tidelake.sources.storage import child_names, exists
 
 # Spark forgets files that are a week older than the newest one it has seen, unless told otherwise.
 ANY_AGE = "36500d"
+_DAY = "ingest_date="
 
 
 def append_events(events: DataFrame, root: str, run_id: str, batch_id: int, even_out: bool = True) -> None:
@@ -39,9 +41,16 @@ def read_events(spark: SparkSession, root: str, table: str | None = None) -> Dat
 
 
 def read_new_events(spark: SparkSession, root: str, table: str, watermark: datetime) -> DataFrame:
-    """Events of a table ingested after ``watermark``; the day filter prunes folders."""
+    """Events of a table ingested after ``watermark``. Only its day folders from then on are listed."""
     moment = F.lit(watermark.isoformat()).cast("timestamp")
-    return read_events(spark, root, table).filter(
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    first = (watermark.astimezone(zone) if watermark.tzinfo else watermark).date().isoformat()
+    folder = f"{root}/source_table={table}"
+    days = [n for n in child_names(spark, folder) if n.startswith(_DAY) and n.removeprefix(_DAY) >= first]
+    if not days:
+        return spark.createDataFrame([], EVENT_FILE)
+    events = spark.read.schema(EVENT_FILE).option("basePath", root).parquet(*[f"{folder}/{day}" for day in days])
+    return events.filter(
         (F.col("ingest_date") >= F.to_date(moment)) & (F.col("_cdc_ingested_at") > moment)
     )
 
