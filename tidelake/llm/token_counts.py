@@ -16,10 +16,16 @@ from tidelake.llm.common import map_batches, slices
 from tidelake.llm.tokens import default_tokenizer, encoder
 
 # A posting: the document's place in its block, and how often the pre-token occurs there.
-_POSTING = np.dtype([("doc", "<u4"), ("n", "<u4")])
-_BLOCK_CHARS = 16 << 20
+_POSTING = np.dtype([("doc", "<u2"), ("n", "<u4")])
+# A document of a block: its id, whether it has one, and its bytes.
+_DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "?"), ("n_bytes", "<i8")])
+_BLOCK_CHARS = 32 << 20
+_BLOCK_ROWS = 1 << 16
+# Keys of rows that carry a block's documents; no pre-token starts so.
+_BLOCK_MARK = "\0\0"
 _SUM_BYTES = 64 << 20
-_FREQUENCIES = "key string, block bigint, postings binary, doc_ids array<bigint>, n_bytes array<bigint>"
+# ``packed`` holds postings of the pre-token ``key``, or the block's documents.
+_FREQUENCIES = "key string, block bigint, packed binary"
 
 
 def count_tokens(docs: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
@@ -43,7 +49,8 @@ def count_tokens(docs: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
     return map_batches(sums.repartition(_parts(spark), "block").sortWithinPartitions("block"), _finish, "doc_id bigint, n_bytes bigint, n_tokens bigint")
 
 
-_SUMS = "block bigint, doc_at binary, tokens binary, doc_ids array<bigint>, n_bytes array<bigint>"
+# ``packed`` holds tokens of the documents at ``doc_at`` or, where that is empty, the block's documents.
+_SUMS = "block bigint, doc_at binary, packed binary"
 
 
 def _parts(spark) -> int:
@@ -55,9 +62,11 @@ def _frequencies(path: str):
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for begin, end in slices(texts, _BLOCK_CHARS):
-                yield from _block(path, serial, batch.column(0).slice(begin, end - begin), texts[begin:end])
-                serial += 1
+            for start, end in slices(texts, _BLOCK_CHARS):
+                for begin in range(start, end, _BLOCK_ROWS):
+                    part = texts[begin : min(end, begin + _BLOCK_ROWS)]
+                    yield from _block(path, serial, batch.column(0).slice(begin, len(part)), part)
+                    serial += 1
 
     return run
 
@@ -80,18 +89,12 @@ def _block(path: str, block: int, doc_ids: pa.Array, texts: list[str | None]) ->
         n = min(step, len(keys) - i)
         cut = at[i : i + n + 1]
         packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((cut - cut[0]).astype("<i4").tobytes()), pa.py_buffer(postings.view(np.uint8)[cut[0] : cut[-1]].tobytes())])
-        yield _rows(_FREQUENCIES_ARROW, n, key=pa.array(keys[i : i + n]), block=pa.array(np.full(n, block)), postings=packed)
-    n_bytes = [len(text.encode()) if text else 0 for text in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + n]), pa.array(np.full(n, block)), packed], ["key", "block", "packed"])
     # The block's documents travel beside its pre-tokens, under a key of their own.
-    yield _rows(_FREQUENCIES_ARROW, 1, key=pa.array([f"\0 {block}"]), block=pa.array([block]), doc_ids=pa.array([doc_ids.to_pylist()], pa.list_(pa.int64())), n_bytes=pa.array([n_bytes], pa.list_(pa.int64())))
-
-
-_FREQUENCIES_ARROW = pa.schema([("key", pa.string()), ("block", pa.int64()), ("postings", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64()))])
-_SUMS_ARROW = pa.schema([("block", pa.int64()), ("doc_at", pa.binary()), ("tokens", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64()))])
-
-
-def _rows(schema: pa.Schema, n: int, **columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([columns.get(x.name, pa.nulls(n, x.type)) for x in schema], schema=schema)
+    own = np.zeros(len(texts), _DOCUMENT)
+    own["doc_id"], own["known"] = doc_ids.fill_null(0).to_numpy(), doc_ids.is_valid().to_numpy(zero_copy_only=False)
+    own["n_bytes"] = [len(text.encode()) if text else 0 for text in texts]
+    yield pa.RecordBatch.from_arrays([pa.array([f"{_BLOCK_MARK}{block}"]), pa.array([block]), pa.array([own.tobytes()])], ["key", "block", "packed"])
 
 
 def _sum_postings(path: str):
@@ -102,10 +105,10 @@ def _sum_postings(path: str):
         held = 0
         last: tuple[str | None, int] = (None, 0)
         for batch in batches:
-            is_block = batch.column(2).is_null()
+            is_block = pc.starts_with(batch.column(0), _BLOCK_MARK)
             own = batch.filter(is_block)
             if own.num_rows:
-                yield _rows(_SUMS_ARROW, own.num_rows, block=own.column(1), doc_ids=own.column(3), n_bytes=own.column(4))
+                yield pa.RecordBatch.from_arrays([own.column(1), pa.array([b""] * own.num_rows), own.column(2)], ["block", "doc_at", "packed"])
             batch = batch.filter(pc.invert(is_block))
             if not batch.num_rows:
                 continue
@@ -146,12 +149,13 @@ def _add(sums: dict[int, np.ndarray], block: np.ndarray, packed: pa.Array, piece
 
 
 def _flushed(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    sums = {block: x for block, x in sums.items() if x.any()}  # an empty text has a unit without tokens
     docs = {block: np.flatnonzero(x) for block, x in sums.items()}
-    return _rows(
-        _SUMS_ARROW, len(sums), block=pa.array(list(sums), pa.int64()),
-        doc_at=pa.array([docs[b].astype("<u4").tobytes() for b in sums], pa.binary()),
-        tokens=pa.array([x[docs[b]].astype("<i8").tobytes() for b, x in sums.items()], pa.binary()),
-    )
+    return pa.RecordBatch.from_arrays([
+        pa.array(list(sums), pa.int64()),
+        pa.array([docs[b].astype("<u2").tobytes() for b in sums], pa.binary()),
+        pa.array([x[docs[b]].astype("<i8").tobytes() for b, x in sums.items()], pa.binary()),
+    ], ["block", "doc_at", "packed"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +173,10 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _named(rows: list[dict]) -> pa.RecordBatch:
-    own = next(row for row in rows if row["doc_ids"] is not None)
-    tokens = np.zeros(len(own["doc_ids"]), np.int64)
+    own = np.frombuffer(next(row["packed"] for row in rows if not row["doc_at"]), _DOCUMENT)
+    tokens = np.zeros(len(own), np.int64)
     for row in rows:
-        if row["doc_at"] is not None:
-            tokens[np.frombuffer(row["doc_at"], "<u4")] += np.frombuffer(row["tokens"], "<i8")
-    return pa.RecordBatch.from_arrays([pa.array(own["doc_ids"], pa.int64()), pa.array(own["n_bytes"], pa.int64()), pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
+        if row["doc_at"]:
+            tokens[np.frombuffer(row["doc_at"], "<u2")] += np.frombuffer(row["packed"], "<i8")
+    doc_ids = pa.array(own["doc_id"], mask=~own["known"])
+    return pa.RecordBatch.from_arrays([doc_ids, pa.array(own["n_bytes"]), pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
