@@ -77,23 +77,28 @@ def _signed(keys: list[int]) -> np.ndarray:
     return np.array(keys, np.uint64).view(np.int64)
 
 
-def shared_lines(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOCUMENTS, share: float = HOST_SHARE) -> DataFrame:
+def shared_lines(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOCUMENTS, share: float = HOST_SHARE, classes: DataFrame | None = None) -> DataFrame:
     """``line_key`` of every line in more than ``min_documents`` and ``share`` of its host's documents.
 
     Documents with equal texts count once, so copies alone make no line shared. A line is hashed
     with its host; (line, text) pairs are first made distinct, which spreads a line that very
-    many documents have, and then counted with sums per task.
+    many documents have, and then counted with sums per task. With ``classes`` (``node``, the
+    text's xxhash64, and ``root``), texts of one root count once too.
     """
     rows = docs.select(F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text"))
+    if classes is not None:
+        rows = rows.withColumn("node", F.xxhash64("text")).join(classes, "node", "left").select("host", "text", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, texts, lines = [], [], []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            roots = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
+            for name, text, root in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), roots, strict=True):
+                alone = xxhash.xxh64_intdigest((text or "").encode())
                 keys = np.unique(_signed([0, *line_keys(text, name)[1]]))  # 0 stands for the document itself
                 lines.append(keys)
                 hosts.append(np.full(len(keys), xxhash.xxh64_intdigest(b"null" if name is None else b"=" + name.encode()), np.uint64))
-                texts.append(np.full(len(keys), xxhash.xxh64_intdigest((text or "").encode()), np.uint64))
+                texts.append(np.full(len(keys), alone if root is None else root & (1 << 64) - 1, np.uint64))
             cat = [np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (hosts, lines, texts)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cat], ["host_key", "line_key", "text_key"])
 
@@ -123,8 +128,8 @@ def judge(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOC
     return _with_lines(rows, "host", "text", shared_lines(rows, "host", min_documents=min_documents, share=share), finish, f"doc_id bigint, {_VERDICT}, text string")
 
 
-def keep_good(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOCUMENTS, share: float = HOST_SHARE) -> DataFrame:
-    """``docs``, all columns, without rejected documents and with shared lines cut from ``text``."""
+def keep_good(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOCUMENTS, share: float = HOST_SHARE, classes: DataFrame | None = None) -> DataFrame:
+    """``docs``, all columns, without rejected documents and with shared lines cut from ``text``; ``classes`` as in ``shared_lines``."""
     names = docs.columns
     at = names.index("text")
 
@@ -133,7 +138,7 @@ def keep_good(docs: DataFrame, host: str = "source", *, min_documents: int = MIN
         kept = pa.array([x[-2] for x in verdicts], pa.bool_())
         return batch.select(names).set_column(at, batch.schema.field(at), text).filter(kept)
 
-    return _with_lines(docs, host, "text", shared_lines(docs, host, min_documents=min_documents, share=share), finish, docs.schema)
+    return _with_lines(docs, host, "text", shared_lines(docs, host, min_documents=min_documents, share=share, classes=classes), finish, docs.schema)
 
 
 def _with_lines(docs: DataFrame, host: str, text: str, shared: DataFrame, finish, schema: str | StructType) -> DataFrame:
