@@ -98,3 +98,21 @@ def test_own_rules():
     rule = Rule("id", r"id-[0-9]+", 5)
     assert Scanner((rule,)).spans(["id-1 id-22 ID-333"]) == [[(5, 10, 0)]]
     assert np.array_equal(candidates(trigram_query(rule.pattern), index(["id-9", "i d-"], ["id-"]), 2), [0])
+
+
+BODY = ["MIIEpAIBAAKCAQEAxq" + "Zb7+/Kd9" * 5, "Qw3rTy" * 10, "pL0kMj8h=="]
+
+
+@pytest.mark.parametrize("text", [
+    "a\n-----BEGIN RSA PRIVATE KEY-----\n{}\n{}\n{}\n-----END RSA PRIVATE KEY-----\nplain tail",
+    "a\r\n-----BEGIN ENCRYPTED PRIVATE KEY-----\r\n{}\r\n{}\r\n{}\r\n-----END ENCRYPTED PRIVATE KEY-----\r\nplain tail",
+    "a -----BEGIN EC PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00AA\n\n{}\n{}\n{}\nplain tail",
+    'a "-----BEGIN PRIVATE KEY-----\\n{}\\n{}\\n{}\\n" plain tail',
+    "a -----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n{}\n{}\n{}\n=aB3d\n-----END PGP PRIVATE KEY BLOCK-----\nplain tail",
+    "a -----BEGIN PRIVATE KEY-----\n{}\n{}\n{}\n-----BEGIN PRIVATE KEY-----\nMIIEpAIBAAKCAQEAxq\n-----END PRIVATE KEY-----\nplain tail",
+])
+def test_no_part_of_a_key_stays(spark, text):
+    frame = spark.createDataFrame([(text.format(*BODY),)], "text string")
+    out = redact(frame).first().text
+    assert "[private_key]" in out and out.startswith("a") and out.endswith("plain tail")
+    assert not any(part in out for line in BODY for part in (line[:8], line[-8:], "KEY-----", "4,ENC", "00AA", "MIIE", "aB3d"))

@@ -40,7 +40,14 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", base=False),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}", base=False),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", base=False),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", base=False),
+    # the whole key: up to its END line or, where that is missing, to the last line of base64 or of a key's headers
+    Rule(
+        "private_key",
+        r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY((?: BLOCK)?)-----"
+        r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY\2-----"
+        r"""|(?:(?:\s|\\[rnt])*(?:(?:Proc-Type|DEK-Info|Key-Info|Version|Comment|Charset|Hash):[^\n]*|=[A-Za-z0-9+/]{4}|[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]*={1,2}))*(?:(?:\s|\\[rnt])*[A-Za-z0-9+/]{1,15}(?=[^\S\n]*(?:\n|\Z)|["'\\]))?)""",
+        base=False,
+    ),
 )
 
 # A query is None (no trigram is mandatory), a trigram, ("and", parts) or ("or", parts).
