@@ -151,3 +151,10 @@ def test_query_digests(spark, small, library):
     for r in op6_token_files(spark, small).collect():
         ids = np.array([*plain(library, texts[r.doc_id]), 0], "<u4")
         assert (len(ids), zlib.crc32(ids.tobytes())) == (r.n_tokens, r.ids_crc32)
+
+
+def test_counts_of_nul_characters(spark, library):
+    texts = ["a \0\0b", "\0\0", " \0\0 \0\x001 x", "plain words", "\0\x000 \0\x000"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for rows in (frame.coalesce(1), frame.repartition(3)):
+        assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in count_tokens(rows).collect()} == {i: (len(t), len(plain(library, t))) for i, t in enumerate(texts)}

@@ -21,10 +21,8 @@ _POSTING = np.dtype([("doc", "<u2"), ("n", "<u4")])
 _DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "?"), ("n_bytes", "<i8")])
 _BLOCK_CHARS = 32 << 20
 _BLOCK_ROWS = 1 << 16
-# Keys of rows that carry a block's documents; no pre-token starts so.
-_BLOCK_MARK = "\0\0"
 _SUM_BYTES = 64 << 20
-# ``packed`` holds postings of the pre-token ``key``, or the block's documents.
+# ``packed`` holds postings of the pre-token ``key`` or, where that is null, the block's documents.
 _FREQUENCIES = "key string, block bigint, packed binary"
 
 
@@ -44,7 +42,7 @@ def count_tokens(docs: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
 
-    by_key = map_batches(rows, _frequencies(path), _FREQUENCIES).repartition(_parts(spark), "key").sortWithinPartitions("key")
+    by_key = map_batches(rows, _frequencies(path), _FREQUENCIES).repartition(_parts(spark), "key", F.when(F.col("key").isNull(), F.col("block"))).sortWithinPartitions("key")
     sums = map_batches(by_key, _sum_postings(path), _SUMS)
     return map_batches(sums.repartition(_parts(spark), "block").sortWithinPartitions("block"), _finish, "doc_id bigint, n_bytes bigint, n_tokens bigint")
 
@@ -90,11 +88,11 @@ def _block(path: str, block: int, doc_ids: pa.Array, texts: list[str | None]) ->
         cut = at[i : i + n + 1]
         packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((cut - cut[0]).astype("<i4").tobytes()), pa.py_buffer(postings.view(np.uint8)[cut[0] : cut[-1]].tobytes())])
         yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + n]), pa.array(np.full(n, block)), packed], ["key", "block", "packed"])
-    # The block's documents travel beside its pre-tokens, under a key of their own.
+    # The block's documents travel beside its pre-tokens, without a key: no text can stand in for that.
     own = np.zeros(len(texts), _DOCUMENT)
     own["doc_id"], own["known"] = doc_ids.fill_null(0).to_numpy(), doc_ids.is_valid().to_numpy(zero_copy_only=False)
     own["n_bytes"] = [len(text.encode()) if text else 0 for text in texts]
-    yield pa.RecordBatch.from_arrays([pa.array([f"{_BLOCK_MARK}{block}"]), pa.array([block]), pa.array([own.tobytes()])], ["key", "block", "packed"])
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([block]), pa.array([own.tobytes()])], ["key", "block", "packed"])
 
 
 def _sum_postings(path: str):
@@ -105,7 +103,7 @@ def _sum_postings(path: str):
         held = 0
         last: tuple[str | None, int] = (None, 0)
         for batch in batches:
-            is_block = pc.starts_with(batch.column(0), _BLOCK_MARK)
+            is_block = pc.is_null(batch.column(0))
             own = batch.filter(is_block)
             if own.num_rows:
                 yield pa.RecordBatch.from_arrays([own.column(1), pa.array([b""] * own.num_rows), own.column(2)], ["block", "doc_at", "packed"])
