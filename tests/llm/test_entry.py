@@ -15,7 +15,7 @@ ROOT = Path(entry.__file__).resolve().parent
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 

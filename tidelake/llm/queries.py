@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import documents, stored
 from tidelake.llm.decontaminate import contaminated
 from tidelake.llm.language import identify
+from tidelake.llm.mixing import mix
 from tidelake.llm.packing import pack
 from tidelake.llm.passages import near_passages
+from tidelake.llm.prefix_trie import prefix_trie, turn_sequences
 from tidelake.llm.quality import judge, verdict_columns
 from tidelake.llm.secrets import find_secrets, listed
 from tidelake.llm.sharding import shard
 from tidelake.llm.simhash import fingerprints, hex_fingerprint, near_groups
 from tidelake.llm.token_counts import count_tokens
 from tidelake.llm.token_files import read_token_files, write_token_files
+from tidelake.llm.whitening import whiten
 from tidelake.session import scratch_folder
 
 
@@ -76,6 +79,28 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_passages(documents(spark, sf_dir))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def spliced(sequences: DataFrame) -> DataFrame:
+    """Every conversation c with its first h turns taken from conversation c - c % 5; h is crc32(c) % 9."""
+    none = F.filter("turns", lambda _: F.lit(False))
+    taken = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    heads = sequences.where("pmod(conv_id, 5) = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    met = sequences.withColumn("base", F.expr("conv_id - pmod(conv_id, 5)")).withColumn("taken", taken).join(heads, "base", "left")
+    return met.select("conv_id", F.concat(F.slice(F.coalesce("head", none), F.lit(1), F.col("taken")), F.slice("turns", F.col("taken") + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie(spliced(stored(turn_sequences(conversations), "trie-turns")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -87,6 +112,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_passages": op10_passages,
+    "op11_mixing": op11_mixing,
+    "op12_whitening": op12_whitening,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 # Words of a text in SQL, and A-Z lowered.
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -122,5 +150,22 @@ _CONTAINED = f"""WITH d AS ({_shingles('documents', 'doc_id')}), b AS ({_shingle
 sizes AS (SELECT item_id, COUNT(*) AS n FROM b GROUP BY ALL)
 SELECT doc_id, item_id, k::DOUBLE / n AS containment FROM (SELECT doc_id, item_id, COUNT(*) AS k FROM d JOIN b USING (s) GROUP BY ALL) JOIN sizes USING (item_id) WHERE 10 * k >= 8 * n"""
 
+# crc32 over a number's digits: eight shifts (-1) follow each byte.
+_TAKEN = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(len(c::VARCHAR)), lambda i: [ascii(substr(c::VARCHAR, i + 1, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END), 4294967295) % 9"""
+
+_TRIE = f"""WITH told AS (SELECT conv_id::BIGINT AS c, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS b FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(k ORDER BY turn NULLS FIRST, k, b) AS ks, list(b ORDER BY turn NULLS FIRST, k, b) AS bs FROM told GROUP BY c),
+measured AS (SELECT *, ({_TAKEN})::BIGINT AS h, c - (c % 5 + 5) % 5 AS base FROM own),
+rebuilt AS (SELECT m.c, list_concat(coalesce(o.ks[1:h], []), m.ks[h+1:]) AS ks, list_concat(coalesce(o.bs[1:h], []), m.bs[h+1:]) AS bs FROM measured m LEFT JOIN own o ON o.c = m.base),
+steps AS (SELECT c, ks, bs, unnest(range(0, len(ks) + 1)) AS d FROM rebuilt),
+nodes AS (SELECT ks[1:d] AS p, d, MIN(c) AS conv, COUNT(*) AS n, CASE WHEN d = 0 THEN 0 ELSE MIN(bs[d]) END AS b, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(ks) = d), '')) AS ends FROM steps GROUP BY ks[1:d], d),
+families AS (SELECT p[1:d-1] AS p, COUNT(*) AS children FROM nodes WHERE d > 0 GROUP BY p[1:d-1]),
+full_nodes AS (SELECT n.*, coalesce(children, 0) AS children FROM nodes n LEFT JOIN families USING (p)),
+upward AS (SELECT p, unnest(range(0, d + 1)) AS up, (n - 1) * b AS saved, (children = 0)::INT AS leaf FROM full_nodes),
+below AS (SELECT p[1:up] AS p, SUM(leaf) AS leaves, SUM(saved) AS saved FROM upward GROUP BY p[1:up])
+SELECT f.conv::BIGINT AS conv_id, f.d::BIGINT AS depth, up.conv::BIGINT AS parent_conv_id, f.n::BIGINT AS n_convs, f.children::BIGINT AS n_children, leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_nodes f JOIN below USING (p) LEFT JOIN nodes up ON f.d > 0 AND up.p = f.p[1:f.d-1]"""
+
 # The others need hashes, tokenizers or rounds that SQL has not; tests hold them against plain loops.
-ORACLE: dict[str, str] = {"op2_quality": _QUALITY, "op3_decontamination": _CONTAINED}
+ORACLE: dict[str, str] = {"op2_quality": _QUALITY, "op3_decontamination": _CONTAINED, "op13_prefix_trie": _TRIE}
