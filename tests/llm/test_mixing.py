@@ -102,3 +102,15 @@ def test_whole_copies():
     total = whole_copies(size, n, np.array([0.0, 0.3, 1.2, 0.5]), 70.0, 2)
     assert (total >= 0).all() and (total <= 2 * n).all() and abs((total * size).sum() - 70) <= 26
     assert whole_copies(size, n, np.array([0.0, 2, 2, 2]), 224.0, 2).tolist() == [0, 4, 8, 2]
+
+
+def test_copies_where_none_can_be_added_or_left_out():
+    assert whole_copies(np.array([10]), np.array([1]), np.array([2.0]), 25.0, 2).tolist() == [2]
+    assert whole_copies(np.array([10]), np.array([1]), np.array([0.1]), 1.0, 2).tolist() == [0]
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        size = np.unique(rng.integers(0, 40, rng.integers(1, 6)))
+        n = rng.integers(1, 4, len(size))
+        rate = rng.random(len(size)) * 2
+        total = whole_copies(size, n, rate, float((size * n * rate).sum()), 2)
+        assert (total >= 0).all() and (total <= 2 * n).all() and abs((total * size).sum() - (size * n * rate).sum()) <= size.max() / 2 + 1

@@ -151,7 +151,7 @@ def whole_copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: floa
         # One copy more of a size and one less of another (or either alone), as near as there are.
         more = np.flatnonzero((total < cap * n) & (size > 0))
         less = np.flatnonzero((total > 0) & (size > 0))
-        ups, downs = np.append(0, size[more]), np.append(0, size[less])
+        ups, downs = np.append(0, size[more]), np.append(0, size[less])  # 0: none
         at = np.searchsorted(downs, ups - lacking)
         tries = np.stack([np.clip(at - 1, 0, len(downs) - 1), np.clip(at, 0, len(downs) - 1)])
         left = np.abs(lacking - ups + downs[tries])
@@ -159,8 +159,8 @@ def whole_copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, target: floa
         if left[side, up] >= abs(lacking):
             break
         down = tries[side, up]
-        total[more[up - 1]] += up > 0
-        total[less[down - 1]] -= down > 0
+        total[more[up - 1 : up]] += 1
+        total[less[down - 1 : down]] -= 1
         lacking = int(lacking - ups[up] + downs[down])
     return total
 
