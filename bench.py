@@ -16,7 +16,7 @@ import time
 from pyspark.sql import functions as F
 
 from tidelake.plans import analytics, gold
-from tidelake.plans.pipeline import EPOCH, Lakehouse, compact, merge_new_events, rebuild, refresh_reports
+from tidelake.plans.pipeline import EPOCH, Lakehouse, merge_new_events, rebuild, refresh_reports
 from tidelake.session import build_session
 from tidelake.sources import shop_sample as shop
 from tidelake.sources.files import read_record_files
@@ -63,9 +63,8 @@ def main() -> None:
 
     seconds["bronze_stream_ingest"] = once(ingest)
     logged = lake.events().count()
-    seconds["silver_merge_first"] = once(lambda: merge_new_events(lake, EPOCH, "first"))
-    seconds["silver_merge_replay"] = once(lambda: merge_new_events(lake, EPOCH, "again"))
-    seconds["silver_compact"] = once(lambda: compact(lake))
+    seconds["silver_merge_first"] = once(lambda: merge_new_events(lake, EPOCH))
+    seconds["silver_merge_replay"] = once(lambda: merge_new_events(lake, EPOCH))
     seconds["silver_rebuild"] = once(lambda: rebuild(lake))
     seconds["gold_refresh"] = once(lambda: refresh_reports(lake))
 

@@ -2,6 +2,7 @@
 
 import os
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,10 +19,15 @@ def plan_of(rows) -> str:
 
 
 @pytest.fixture(scope="module")
-def tables(spark, small, tmp_path_factory):
+def lake(spark, small, tmp_path_factory):
     lake = Lakehouse(spark, str(tmp_path_factory.mktemp("plans")), 2)
     append_events(events(spark, small), lake.log_root, "load", 0)
-    merge_new_events(lake, EPOCH, "load")
+    merge_new_events(lake, EPOCH)
+    return lake
+
+
+@pytest.fixture(scope="module")
+def tables(lake):
     return lake.tables()
 
 
@@ -62,10 +68,34 @@ def test_weekly_counts_need_one_small_exchange(tables, no_broadcast):
     assert plan.count("Exchange") == 1 and "hashpartitioning(order_week" in plan
 
 
-def test_orders_are_exchanged_once_for_join_and_fold(tables, no_broadcast):
-    """The fold to one row per order runs on the join's partitioning."""
+def exchanged(plan: str) -> list[str]:
+    return [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\((\w+#\d+L?)", plan)]
+
+
+def test_buckets_join_orders_and_lines_without_an_exchange(tables, no_broadcast):
+    """Join and fold to one row per order run on the tables' buckets; reviews, laid out by month, too."""
     plan = plan_of(gold.seller_totals(tables))
-    assert [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\((\w+#\d+L?)", plan)] == ["seller_id", "order_id", "order_id"]
+    assert exchanged(plan) == ["seller_id"] and plan.count("Bucketed: true") == 2
+    assert "order_id" not in exchanged(plan_of(gold.review_sentiment_by_state(tables)))
+    paid = tables["order_payments"].join(tables["orders"], "order_id").join(tables["order_items"], "order_id").groupBy("order_id").count()
+    assert "Exchange" not in plan_of(paid) and plan_of(paid).count("Bucketed: true") == 3
+
+
+@pytest.mark.parametrize("model,groups", [(gold.daily_revenue, {"order_date"}), (analytics.daily_revenue, {"order_date"})])
+def test_sales_are_joined_and_folded_by_bucket(tables, model, groups):
+    """With products small enough to be sent around, as Spark decides, only daily sums are exchanged."""
+    plan = plan_of(model(tables))
+    assert set(exchanged(plan)) <= groups and plan.count("Bucketed: true") == 2
+
+
+def test_a_month_filter_reaches_the_folders(lake):
+    table = lake.state_table("orders")
+    low, high = datetime(1996, 3, 10), datetime(1996, 5, 1)
+    rows = table.between(low, high)
+    assert rows.count() == table.read().where((F.col("purchased_at") >= F.lit(low)) & (F.col("purchased_at") < F.lit(high))).count() > 0
+    assert re.search(r"PartitionFilters: \[isnotnull\(purchased_at_month#\d+\), \(purchased_at_month#\d+ >= 1996-03-01\)", plan_of(rows))
+    with pytest.raises(ValueError):
+        lake.state_table("sellers").between(low, high)
 
 
 def test_top_k_does_not_sort_everything(tables):
@@ -94,7 +124,8 @@ def hot(spark, tables, name, column, value):
     (gold.top_sellers, "order_items", "order_id", "1"),
     (gold.review_sentiment_by_state, "order_reviews", "order_id", "1"),
 ])
-def test_a_hot_key_is_split_over_tasks(spark, tables, no_broadcast, plan, name, column, value):
+def test_a_hot_key_is_split_over_tasks(spark, lake, no_broadcast, plan, name, column, value):
+    tables = lake.tables(bucketed=False)
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
@@ -114,6 +145,34 @@ def test_a_hot_key_is_split_over_tasks(spark, tables, no_broadcast, plan, name,
             spark.conf.set(key, setting)
 
 
+def test_uneven_buckets_are_not_joined_by_bucket(spark, small, tmp_path, no_broadcast):
+    """A third of all lines on one order: the stored buckets show it, and joins exchange and split instead."""
+    from tidelake.sources import shop_sample as shop
+
+    lake = Lakehouse(spark, str(tmp_path), 4)
+    for name in ("orders", "order_items"):
+        rows = spark.createDataFrame([], ENTITIES[name].state).unionByName(shop.current(spark, small, name), allowMissingColumns=True)
+        lake.state_table(name).replace(hot(spark, {name: rows}, name, "order_id", "1")[name] if name == "order_items" else rows)
+    assert lake.even() and "Bucketed: true" in plan_of(gold.seller_totals(lake.tables()))
+    expected = sorted(map(str, gold.seller_totals(lake.tables()).collect()))
+    small_parts = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "0",
+    }
+    kept = {k: spark.conf.get(k) for k in small_parts}
+    for key, setting in small_parts.items():
+        spark.conf.set(key, setting)
+    try:
+        assert not lake.even()
+        rows = gold.seller_totals(lake.tables())
+        assert sorted(map(str, rows.collect())) == expected
+        assert exchanged(plan_of(rows)).count("order_id") >= 2 and "Bucketed: true" not in plan_of(rows)
+    finally:
+        for key, setting in kept.items():
+            spark.conf.set(key, setting)
+
+
 def test_a_dominant_table_is_written_in_even_parts(spark, small, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "60k")
     try:

@@ -82,8 +82,9 @@ def test_declared_tables(spark, tmp_path):
         fields = {f.name: f.dataType for f in spark.table(f"silver_test.{name}").schema}
         assert {f.name: f.dataType for f in entity.state}.items() <= fields.items()
         columns = spark.catalog.listColumns(f"silver_test.{name}")
-        assert [c.name for c in columns if c.isPartition] == [layout_column(entity)]
-    assert layout_column(ENTITIES["orders"]) == "purchased_at_month" and layout_column(ENTITIES["sellers"]) == "seller_state"
+        assert [c.name for c in columns if c.isPartition] == [layout_column(entity.layout)]
+        assert [c.name for c in columns if c.isBucket] == ([entity.clustered] if entity.clustered else [])
+    assert layout_column(ENTITIES["orders"].layout) == "purchased_at_month" and layout_column(ENTITIES["sellers"].layout) == "seller_state_folder"
     spark.sql("ALTER TABLE silver_test.orders ADD COLUMN extra INT")
     create_state_tables(spark, f"{tmp_path}/silver", "silver_test")
     assert "extra" in spark.table("silver_test.orders").columns  # kept unless asked to recreate

@@ -1,115 +1,177 @@
-"""Stored state and reports: appends, repeats, competing writers, resolution, compaction, plans."""
+"""Stored state and reports: batches in any order, partitions left alone, emptied and repaired; reports by group."""
 
 import datetime as dt
 import itertools
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidelake.plans.pipeline import Lakehouse, apply_events, rebuild
+from tidelake.registry.queries import events
 from tidelake.schemas import ENTITIES
-from tidelake.sources.tables import ReportTable, StateTable
+from tidelake.sources import append_events, event_log
 
-SELLERS = ENTITIES["sellers"]
 NOW = dt.datetime(2024, 1, 1)
 
 
-def batch(spark, *rows):
-    """Staged rows from (id, city, time, op)."""
-    values = [
-        tuple({"seller_id": i, "seller_city": city}.get(c) for c in SELLERS.columns) + (op, at, at, op == "d", NOW)
-        for i, city, at, op in rows
-    ]
-    return spark.createDataFrame(values, SELLERS.state)
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lakehouse(spark, str(tmp_path), 2)
 
 
-def content(table):
-    return sorted((r.seller_id, r.seller_city, r.is_deleted) for r in table.read().collect())
+def batch(spark, name, *rows):
+    """Staged rows of an entity from (columns, time, op)."""
+    entity = ENTITIES[name]
+    values = [tuple(given.get(c) for c in entity.columns) + (op, at, at, op == "d", NOW) for given, at, op in rows]
+    return spark.createDataFrame(values, entity.state)
 
 
-@pytest.fixture
-def table(spark, tmp_path):
-    return StateTable(spark, f"{tmp_path}/sellers", SELLERS, 2)
+def seller(i, city, at, op, state="SP"):
+    return {"seller_id": i, "seller_city": city, "seller_state": state}, at, op
+
+
+def order(i, month, at, op="u", status="delivered"):
+    return {"order_id": i, "status": status, "purchased_at": month and dt.datetime(2024, month, 5, 12)}, at, op
+
+
+def content(table, *columns):
+    return sorted((tuple(r) for r in table.read().select(*columns, "is_deleted").collect()), key=str)
+
+
+def files(table):
+    """Partition folders and the files in them, with their times."""
+    out = {}
+    for base, _, names in os.walk(table.root):
+        kept = [n for n in names if n.endswith(".parquet")]
+        if kept:
+            out[os.path.basename(base)] = {n: os.stat(f"{base}/{n}").st_mtime_ns for n in kept}
+    return out
 
 
-def test_empty(table):
-    assert table.read().isEmpty() and table.read().schema.names == SELLERS.state.names and table.parts() == []
+def test_empty(lake, spark):
+    table = lake.state_table("sellers")
+    assert table.read().isEmpty() and table.read().schema.names == ENTITIES["sellers"].state.names and table.partitions() == set()
+    assert table.merge(batch(spark, "sellers")) == (set(), None) and files(table) == {}
 
 
 def test_changes_in_any_order_and_split(spark, tmp_path):
-    changes = [("a", "one", 1, "r"), ("a", "two", 2, "u"), ("b", "x", 1, "r"), ("b", "x", 3, "d"), ("c", "late", 5, "c")]
-    want = [("a", "two", False), ("b", "x", True), ("c", "late", False)]
-    for k, order in enumerate(itertools.islice(itertools.permutations(changes), 0, 120, 40)):
-        table = StateTable(spark, f"{tmp_path}/{k}", SELLERS, 2)
-        for n, change in enumerate(order):
-            table.append(batch(spark, change), f"b{n}")
-            if n == k + 1:
-                table.compact()
-        assert content(table) == want
-        table.compact()
-        assert content(table) == want and [p[:5] for p in table.parts()] == ["base-"]
-
-
-def test_a_repeated_batch_is_added_once(spark, table):
-    first = table.append(batch(spark, ("a", "one", 1, "r")), "run/1")
-    assert table.append(batch(spark, ("a", "one", 1, "r")), "run/1") == first
-    assert table.append(batch(spark, ("a", "two", 2, "u")), "run/10") != first
-    assert len(table.parts()) == 2
-    assert table.append(batch(spark), "empty") is None and len(table.parts()) == 2
-
-
-def test_a_second_writer_takes_nothing_from_the_first(spark, tmp_path):
-    one, other = (StateTable(spark, f"{tmp_path}/t", SELLERS, 2) for _ in range(2))
-    one.append(batch(spark, ("a", "one", 1, "r"), ("b", "one", 1, "r")), "same name")
-    listed = one.parts()  # the first compaction lists here, and ends after the second one has
-    other.append(batch(spark, ("c", "other", 1, "r")), "other")
-    other.compact()
-    one._fold(one._newest(one._read(other.parts())), listed)
-    want = [("a", "one", False), ("b", "one", False), ("c", "other", False)]
-    assert content(one) == content(other) == want
-    one.compact()
-    assert content(one) == want and len(one.parts()) == 1
-
-
-def test_an_attempt_without_its_mark_is_repeated(spark, table, tmp_path):
-    batch(spark, ("a", "half", 1, "r")).write.parquet(f"{tmp_path}/sellers/change-b-lost")
-    (tmp_path / "sellers" / "change-b-lost" / "_SUCCESS").unlink()
-    assert content(table) == []
-    table.append(batch(spark, ("a", "whole", 1, "r")), "b")
-    assert content(table) == [("a", "whole", False)]
-
-
-def test_replace(spark, table):
-    table.append(batch(spark, ("a", "one", 1, "r")), "1")
-    table.replace(batch(spark, ("z", "new", 2, "r")))
-    assert content(table) == [("z", "new", False)]
-
-
-def test_a_small_batch_neither_rewrites_nor_exchanges_the_base(spark, table):
-    import os
-
-    rows = [(str(i), "old", 1, "r") for i in range(2000)]
-    table.append(batch(spark, *rows), "load")
-    table.compact()
-    base = table.parts("base-")
-    files = {f: os.stat(f"{table.root}/{base[0]}/{f}").st_mtime_ns for f in os.listdir(f"{table.root}/{base[0]}")}
-    table.append(batch(spark, ("7", "new", 2, "u"), ("x", "new", 2, "c"), ("8", "late", 0, "u")), "small")
-    assert files == {f: os.stat(f"{table.root}/{base[0]}/{f}").st_mtime_ns for f in os.listdir(f"{table.root}/{base[0]}")}
-    read = table.read()
-    assert read.count() == 2001
-    got = {r.seller_id: r.seller_city for r in read.collect()}
-    assert (got["7"], got["8"], got["x"]) == ("new", "old", "new")
-    kept = read._jdf.queryExecution().executedPlan().toString()
-    first = kept.split("Union", 1)[1]
-    assert "BroadcastHashJoin" in first.split("Scan parquet", 1)[0] and "Exchange hash" not in first.split("Scan parquet", 1)[0]
-
-
-def test_reports_are_replaced_whole(spark, tmp_path):
+    changes = [seller("a", "one", 1, "r"), seller("a", "two", 2, "u", "RJ"), seller("b", "x", 1, "r"), seller("b", "x", 3, "d"), seller("c", "late", 5, "c", None)]
+    want = [("a", "two", "RJ", False), ("b", "x", "SP", True), ("c", "late", None, False)]
+    for k, turn in enumerate(itertools.islice(itertools.permutations(changes), 0, 120, 40)):
+        table = Lakehouse(spark, f"{tmp_path}/{k}", 2).state_table("sellers")
+        for change in turn:
+            table.merge(batch(spark, "sellers", change))
+        assert content(table, "seller_id", "seller_city", "seller_state") == want
+        before = files(table)
+        table.merge(batch(spark, "sellers", turn[0]))  # repeated: rewritten with the same rows
+        assert content(table, "seller_id", "seller_city", "seller_state") == want and set(files(table)) == set(before)
+
+
+def test_rows_move_between_months_and_other_months_keep_their_files(spark, lake):
+    table = lake.state_table("orders")
+    touched, _ = table.merge(batch(spark, "orders", *[order(str(i), 1 + i % 4, 1, "r") for i in range(40)], order("none", None, 1, "r")))
+    assert touched == table.partitions() == {dt.date(2024, m, 1) for m in (1, 2, 3, 4)} | {None}
+    before = files(table)
+    touched, _ = table.merge(batch(spark, "orders", order("1", 3, 2), order("none", 3, 2), order("2", 3, 0)))  # the last is late
+    assert touched == {dt.date(2024, 2, 1), dt.date(2024, 3, 1), None}
+    after = files(table)
+    kept = {f"purchased_at_month=2024-{m:02d}-01" for m in (1, 4)}
+    assert all(before[f] == after[f] for f in kept) and "__HIVE_DEFAULT_PARTITION__" not in str(list(after))
+    got = {r.order_id: r.purchased_at and r.purchased_at.month for r in table.read().collect()}
+    assert len(got) == table.read().count() == 41 and (got["1"], got["none"], got["2"]) == (3, 3, 3)
+    folder = table.whole().select("purchased_at", F.col("purchased_at_month").alias("m")).collect()
+    assert all(r.m == r.purchased_at.date().replace(day=1) for r in folder)
+
+
+def test_a_moved_rows_commit_that_broke_off_is_repaired(spark, lake):
+    """The new month was written and the old one was not: the batch, repeated, leaves one row."""
+    table = lake.state_table("orders")
+    table.merge(batch(spark, "orders", order("1", 1, 1, "r"), order("2", 1, 1, "r")))
+    moved = batch(spark, "orders", order("1", 2, 2))
+    table.overwrite(table.placed(moved))
+    assert table.read().count() == 3
+    table.merge(moved)
+    assert content(table, "order_id", "purchased_at") == [("1", dt.datetime(2024, 2, 5, 12), False), ("2", dt.datetime(2024, 1, 5, 12), False)]
+
+
+def test_texts_that_folders_cannot_hold_come_back(spark, lake):
+    table = lake.state_table("sellers")
+    states = ["", None, "-", "a/b=c", "100%", "é'\\", "__HIVE_DEFAULT_PARTITION__x"]
+    table.merge(batch(spark, "sellers", *[seller(str(i), "c", 1, "r", s) for i, s in enumerate(states)]))
+    table.merge(batch(spark, "sellers", *[seller(str(i), "d", 2, "u", s) for i, s in enumerate(states) if i % 2]))
+    assert {r.seller_id: r.seller_state for r in table.read().collect()} == {str(i): s for i, s in enumerate(states)}
+    table.merge(batch(spark, "sellers", *[seller(str(i), "e", 3, "u", "all") for i in range(len(states))]))
+    assert table.partitions() == {"all"} and table.read().count() == len(states)
+
+
+def test_rules_of_the_merge_reach_stored_tables(spark, lake):
+    table = lake.state_table("sellers")
+    table.merge(batch(spark, "sellers", seller("a", "new", 5, "u"), seller("b", "kept", 5, "u")))
+    table.merge(batch(spark, "sellers", seller("a", "old", 1, "u"), seller("b", "image", 6, "d")), late_guard=False, delete_keeps_target=True)
+    assert content(table, "seller_id", "seller_city") == [("a", "old", False), ("b", "kept", True)]
+
+
+def test_what_a_batch_changed_is_kept_on_demand(spark, lake):
+    table = lake.state_table("orders")
+    table.merge(batch(spark, "orders", order("1", 1, 1, "r"), order("2", 1, 1, "r"), order("3", 2, 1, "r")))
+    _, changes = table.merge(batch(spark, "orders", order("1", 3, 2), order("9", 2, 2)), keep=True)
+    assert [(r.order_id, r.purchased_at.month) for r in changes.before.collect()] == [("1", 1)]
+    assert sorted((r.order_id, r.purchased_at.month) for r in changes.after.collect()) == [("1", 3), ("9", 2)]
+
+
+def test_the_first_number_of_buckets_stays(spark, tmp_path):
+    assert Lakehouse(spark, str(tmp_path), 4).buckets == Lakehouse(spark, str(tmp_path), 16).buckets == 4
+
+
+def test_rebuild_keeps_what_comes_meanwhile(spark, small, lake, monkeypatch):
+    """A batch appended and merged after the log was listed is in the rebuilt table."""
+    rows = events(spark, small, "sellers").where("_cdc_op = 'r'")
+    half = F.pmod(F.hash("_cdc_offset"), F.lit(2)) == 0
+    append_events(rows.where(half), lake.log_root, "one", 0)
+    apply_events(lake, "sellers", lake.events("sellers"))
+    seen, real = [], event_log.log_batches
+
+    def listing(*given):
+        found = real(*given)
+        if not seen:
+            append_events(rows.where(~half), lake.log_root, "two", 0)
+            apply_events(lake, "sellers", lake.events("sellers"))
+        seen.append(found)
+        return found
+
+    monkeypatch.setattr("tidelake.plans.pipeline.log_batches", listing)
+    rebuild(lake, names=("sellers",))
+    assert len(seen[0]) == 1 and len(seen) == 3
+    assert lake.state("sellers").count() == rows.count() > rows.where(half).count() > 0
+
+
+def test_rebuild_drops_what_the_log_does_not_have(spark, small, lake):
+    append_events(events(spark, small, "sellers"), lake.log_root, "one", 0)
+    lake.state_table("sellers").merge(batch(spark, "sellers", seller("stray", "x", 1, "r", "nowhere")))
+    rebuild(lake, names=("sellers",))
+    assert "stray" not in {r.seller_id for r in lake.state("sellers").collect()} and "nowhere" not in lake.state_table("sellers").partitions()
+
+
+def test_reports_are_replaced_whole_or_by_group(spark, lake):
     from tidelake.schemas import GOLD
 
-    schema = GOLD["order_funnel"]
-    table = ReportTable(spark, f"{tmp_path}/r", schema)
-    assert table.read().isEmpty() and table.place() is None
-    rows = [spark.createDataFrame([(NOW, n, *[0] * 5, 0.0)], schema) for n in range(4)]
-    for n, row in enumerate(rows):
-        table.publish(row)
-        assert [r.total_created for r in table.read().collect()] == [n]
-    assert len(table.parts()) == 2 and table.place().endswith(table.parts()[-1])
+    table = lake.report_table("order_funnel")
+    assert table.read().isEmpty()
+
+    def rows(*weeks):
+        return spark.createDataFrame([(dt.datetime(2024, m, d), n, *[0] * 5, 0.0) for m, d, n in weeks], GOLD["order_funnel"])
+
+    def counts():
+        return sorted((r.order_week.month, r.order_week.day, r.total_created) for r in table.read().collect())
+
+    table.publish(rows((1, 1, 1), (2, 5, 2)))
+    table.publish(rows((1, 1, 3), (1, 8, 4), (3, 4, 5)))
+    assert counts() == [(1, 1, 3), (1, 8, 4), (3, 4, 5)] and len(table.partitions()) == 2
+    before = files(table)
+    gone = spark.createDataFrame([(dt.datetime(2024, 1, 8),), (dt.datetime(2024, 2, 5),)], "order_week timestamp_ntz")
+    assert table.replace_groups(gone, rows((2, 5, 6))) == {dt.date(2024, 1, 1), dt.date(2024, 2, 1)}
+    assert counts() == [(1, 1, 3), (2, 5, 6), (3, 4, 5)]
+    assert files(table)["order_week_month=2024-03-01"] == before["order_week_month=2024-03-01"]
+    table.replace_groups(spark.createDataFrame([(dt.datetime(2024, 3, 4),)], "order_week timestamp_ntz"), rows())
+    assert counts() == [(1, 1, 3), (2, 5, 6)] and dt.date(2024, 3, 1) not in table.partitions()

@@ -23,6 +23,12 @@ def bucket_of(count: int, *columns: Column) -> Column:
     return F.pmod(F.hash(*columns), F.lit(count))
 
 
+def folder_of(column: Column) -> Column:
+    """A name for every value. Folders cannot tell an empty text from none, so both go to ``-``; the
+    column itself stays in the files."""
+    return F.coalesce(F.nullif(column.cast("string"), F.lit("")), F.lit("-"))
+
+
 def transform(kind: str, column: Column, buckets: int = 8) -> Column:
     """One of the four transforms by name."""
     known = {

@@ -9,10 +9,10 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from tidelake.plans.pipeline import EPOCH, Lakehouse, compact, load_snapshot, merge_new_events, rebuild, refresh_reports
+from tidelake.plans.pipeline import EPOCH, Lakehouse, load_snapshot, merge_new_events, rebuild, refresh_reports
 from tidelake.schemas import ENTITIES, GOLD
 from tidelake.session import build_session
-from tidelake.sources.catalog import create_event_tables, create_state_tables, name_log, name_reports, name_state
+from tidelake.sources.catalog import create_event_tables, create_state_tables, name_log
 from tidelake.sources.files import load_csv
 from tidelake.sources.jdbc import read_table
 from tidelake.sources.kafka import read_topics, topics
@@ -26,7 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     def command(name: str, text: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the three layers")
-        sub.add_argument("--buckets", type=int, default=8, help="files that a compaction of a table writes")
+        sub.add_argument("--buckets", type=int, default=8, help="buckets of every table; the first number given for a root stays")
         return sub
 
     init = command("init-tables", "declare the tables of the log and of the current state")
@@ -53,9 +53,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
     merge = command("merge", "merge events ingested after a watermark")
     merge.add_argument("--watermark", type=datetime.fromisoformat, default=EPOCH)
+    merge.add_argument("--no-late-guard", action="store_true", help="let a staged row win whatever its age")
+    merge.add_argument("--delete-keeps-target", action="store_true", help="leave the business columns as they were on a delete")
     merge.add_argument("--refresh", action="store_true", help="refresh the reports afterwards")
 
-    command("compact", "fold what merges have appended to current state")
     command("rebuild", "replace current state by what the whole log gives")
     command("refresh", "refresh all reports")
 
@@ -76,17 +77,19 @@ def password(args: argparse.Namespace) -> str:
 def name_tables(lake: Lakehouse) -> None:
     """Names for SQL text: ``bronze.orders``, ``silver.orders``, ``gold.daily_revenue`` and so on."""
     name_log(lake.spark, lake.log_root)
-    name_state(lake.spark, f"{lake.root}/silver")
-    name_reports(lake.spark, {name: lake.report_table(name).place() for name in GOLD})
+    for name in lake.entities:
+        lake.state_table(name)
+    for name in GOLD:
+        lake.report_table(name)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake = Lakehouse(spark, args.root, args.buckets)
+    lake = Lakehouse(spark, args.root, args.buckets, named=True)
     now = datetime.now(timezone.utc)
     made_by = f"{args.command} {now.isoformat()}"
     if args.command == "init-tables":
         create_event_tables(spark, lake.log_root)
-        create_state_tables(spark, f"{lake.root}/declared", recreate=args.recreate)
+        create_state_tables(spark, f"{lake.root}/silver", buckets=lake.buckets, recreate=args.recreate)
     elif args.command == "ingest":
         records = read_topics(spark, args.servers, topics(args.topic_prefix), max_records=args.max_records)
         start_ingest(records, lake.log_root, args.checkpoint, {"processingTime": args.every}).awaitTermination()
@@ -99,11 +102,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             if name in ENTITIES:
                 load_snapshot(lake, name, rows, made_by, now, f"{args.topic_prefix}.{name}")
     elif args.command == "merge":
-        changed = [name for name, part in merge_new_events(lake, args.watermark, made_by).items() if part]
+        rules = {"late_guard": not args.no_late_guard, "delete_keeps_target": args.delete_keeps_target}
+        changed = [name for name, (touched, _) in merge_new_events(lake, args.watermark, **rules).items() if touched]
         if args.refresh:
             refresh_reports(lake, changed)
-    elif args.command == "compact":
-        compact(lake)
     elif args.command == "rebuild":
         rebuild(lake)
         refresh_reports(lake)

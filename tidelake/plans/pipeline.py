@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from zlib import crc32
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,8 +16,9 @@ from tidelake.operators.extract import extract
 from tidelake.operators.latest import latest_change
 from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
-from tidelake.sources.event_log import append_events, read_events, read_new_events
-from tidelake.sources.tables import ReportTable, StateTable
+from tidelake.sources.catalog import bucket_count
+from tidelake.sources.event_log import append_events, log_batches, read_batches, read_events, read_new_events
+from tidelake.sources.tables import Changes, ReportTable, StateTable
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -53,29 +55,50 @@ def side_by_side(spark: SparkSession, task: Callable[[str], object], names: Iter
 class Lakehouse:
     """The three layers below one root folder.
 
-    ``buckets`` is the number of files that a compaction of a current-state table writes.
+    ``buckets`` is the number of buckets of every table, fixed when the first one is made: about
+    as many as a cluster has cores, or as gigabytes in the largest table, whichever is more.
+    ``named`` puts the tables into the databases ``silver`` and ``gold``, for SQL text; otherwise
+    they have databases of their own, so that a session can hold several lakes.
     """
 
     spark: SparkSession
     root: str
     buckets: int = 8
     entities: Mapping[str, Entity] = field(default_factory=lambda: ENTITIES)
+    named: bool = False
+
+    def __post_init__(self) -> None:
+        self.buckets = bucket_count(self.spark, f"{self.root}/silver", self.buckets)
 
     @property
     def log_root(self) -> str:
         return f"{self.root}/bronze"
 
+    def _database(self, layer: str) -> str:
+        return layer if self.named else f"{layer}_{crc32(self.root.encode()):08x}"
+
     def state_table(self, name: str) -> StateTable:
-        return StateTable(self.spark, f"{self.root}/silver/{name}", self.entities[name], self.buckets)
+        return StateTable(self.spark, self._database("silver"), f"{self.root}/silver/{name}", self.entities[name], self.buckets)
 
     def report_table(self, name: str) -> ReportTable:
-        return ReportTable(self.spark, f"{self.root}/gold/{name}", GOLD[name])
+        return ReportTable(self.spark, self._database("gold"), name, f"{self.root}/gold/{name}", self.buckets)
 
     def events(self, table: str | None = None) -> DataFrame:
         return read_events(self.spark, self.log_root, table)
 
-    def state(self, name: str) -> DataFrame:
-        return self.state_table(name).read()
+    def state(self, name: str, bucketed: bool = True) -> DataFrame:
+        return self.state_table(name).read(bucketed=bucketed)
+
+    def even(self) -> bool:
+        """Whether no bucket is so much larger than the others that its key should be split.
+
+        The limits are those by which adaptive execution calls a partition skewed. Only if all
+        tables clustered alike pass are they joined by buckets.
+        """
+        factor = float(self.spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor"))
+        least = self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"))
+        sizes = [self.state_table(name).bucket_sizes() for name, entity in self.entities.items() if entity.clustered]
+        return not any(max(x) > max(least, factor * sorted(x)[len(x) // 2]) for x in sizes)
 
     def state_as_of(self, name: str, moment: datetime, updated_at: Column | None = None) -> DataFrame:
         """What the events ingested up to a moment give."""
@@ -83,8 +106,16 @@ class Lakehouse:
         seen = self.events(name).filter((F.col("ingest_date") <= F.to_date(upto)) & (F.col("_cdc_ingested_at") <= upto))
         return stage(seen, self.entities[name], updated_at)
 
-    def tables(self) -> OnDemand:
-        return OnDemand(self.entities, self.state)
+    def tables(self, bucketed: bool | None = None) -> OnDemand:
+        """Current state by name; joined by buckets where they are :meth:`even`, or as told."""
+        joined = [bucketed]
+
+        def open_table(name: str) -> DataFrame:
+            if joined[0] is None:
+                joined[0] = self.even()
+            return self.state(name, joined[0])
+
+        return OnDemand(self.entities, open_table)
 
     def reports(self) -> OnDemand:
         return OnDemand(GOLD, lambda name: self.report_table(name).read())
@@ -101,46 +132,47 @@ def load_snapshot(lake: Lakehouse, name: str, rows: DataFrame, run_id: str, load
     append_events(snapshot_events(rows, name, topic, moment), lake.log_root, run_id, 0, even_out=False)
 
 
-def apply_events(lake: Lakehouse, name: str, events: DataFrame, made_by: str, updated_at: Column | None = None) -> str | None:
-    """Append the newest row per key of new events to a current-state table.
+def apply_events(lake: Lakehouse, name: str, events: DataFrame, updated_at: Column | None = None, **rules: bool) -> tuple[set, Changes | None]:
+    """Merge the newest row per key of new events into a current-state table.
 
-    The table itself is neither read nor rewritten. Returns the part's name, or None without rows;
-    what ``made_by`` has already appended is not done again.
+    ``rules``: ``late_guard``, ``delete_keeps_target`` and ``keep`` of :meth:`StateTable.merge`,
+    which says what is returned. With the guard a batch may come twice and in any order.
     """
-    return lake.state_table(name).append(stage(events, lake.entities[name], updated_at), made_by)
+    return lake.state_table(name).merge(stage(events, lake.entities[name], updated_at), **rules)
 
 
 def merge_new_events(
-    lake: Lakehouse, watermark: datetime, made_by: str, updated_at: Column | None = None, names: Iterable[str] | None = None
-) -> dict[str, str | None]:
+    lake: Lakehouse, watermark: datetime, updated_at: Column | None = None, names: Iterable[str] | None = None, **rules: bool
+) -> dict[str, tuple[set, Changes | None]]:
     """Merge what was ingested after ``watermark`` into each table."""
 
-    def one(name: str) -> str | None:
-        return apply_events(lake, name, read_new_events(lake.spark, lake.log_root, name, watermark), made_by, updated_at)
+    def one(name: str) -> tuple[set, Changes | None]:
+        return apply_events(lake, name, read_new_events(lake.spark, lake.log_root, name, watermark), updated_at, **rules)
 
     return side_by_side(lake.spark, one, names or lake.entities)
 
 
-def compact(lake: Lakehouse, names: Iterable[str] | None = None) -> dict[str, str | None]:
-    """Fold what batches have appended to current-state tables."""
-    return side_by_side(lake.spark, lambda name: lake.state_table(name).compact(), names or lake.entities)
+def rebuild(lake: Lakehouse, updated_at: Column | None = None, names: Iterable[str] | None = None) -> None:
+    """Replace current-state tables by what the whole event log gives.
 
+    What is appended to the log meanwhile, and may have been merged into the table that is being
+    replaced, is merged again afterwards. Run no other writer of the table beside it.
+    """
 
-def rebuild(lake: Lakehouse, updated_at: Column | None = None, names: Iterable[str] | None = None) -> dict[str, str]:
-    """Replace current-state tables by what the whole event log gives."""
-
-    def one(name: str) -> str:
-        return lake.state_table(name).replace(stage(lake.events(name), lake.entities[name], updated_at))
+    def one(name: str) -> None:
+        seen = log_batches(lake.spark, lake.log_root, name)
+        events = read_batches(lake.spark, lake.log_root, name, seen)
+        lake.state_table(name).replace(stage(events, lake.entities[name], updated_at))
+        while later := log_batches(lake.spark, lake.log_root, name) - seen:
+            seen = seen | later
+            apply_events(lake, name, read_batches(lake.spark, lake.log_root, name, later), updated_at)
 
-    return side_by_side(lake.spark, one, names or lake.entities)
+    side_by_side(lake.spark, one, names or lake.entities)
 
 
-def refresh_reports(lake: Lakehouse, changed: Iterable[str] | None = None) -> dict[str, str]:
-    """Recompute stored reports, all or those that read a changed table; returns when readable."""
+def refresh_reports(lake: Lakehouse, changed: Iterable[str] | None = None) -> list[str]:
+    """Recompute stored reports, all or those that read a changed table; returns their names when readable."""
     changed = set(lake.entities if changed is None else changed)
-    tables = lake.tables()
-
-    def one(name: str) -> str:
-        return lake.report_table(name).publish(gold.MODELS[name](tables))
-
-    return side_by_side(lake.spark, one, [name for name in gold.MODELS if changed & set(gold.READS[name])])
+    tables, names = lake.tables(), [name for name in gold.MODELS if changed & set(gold.READS[name])]
+    side_by_side(lake.spark, lambda name: lake.report_table(name).publish(gold.MODELS[name](tables)), names)
+    return names

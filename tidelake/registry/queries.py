@@ -15,7 +15,7 @@ from tidelake.operators import (
 from tidelake.operators.envelope import MALFORMED
 from tidelake.plans import analytics, gold, metrics, quality
 from tidelake.plans.pipeline import (
-    EPOCH, Lakehouse, apply_events, compact, merge_new_events, rebuild, refresh_reports, side_by_side, stage,
+    EPOCH, Lakehouse, apply_events, merge_new_events, rebuild, refresh_reports, side_by_side, stage,
 )
 from tidelake.schemas import CLOCK, DAY, ENTITIES, FOREIGN_KEYS
 from tidelake.session import configure, scratch_folder
@@ -403,7 +403,7 @@ def published(spark: SparkSession, folder: str, names=tuple(ENTITIES)) -> Lakeho
     def publish(name: str) -> None:
         for batch in (1, 2, 3):
             records = shop.changes(spark, folder, name).filter(F.col("batch") == batch)
-            apply_events(lake, name, events_of(parsed(records)), f"batch {batch}", updated_at(batch))
+            apply_events(lake, name, events_of(parsed(records)), updated_at(batch))
 
     side_by_side(spark, publish, names)
     return lake
@@ -439,9 +439,8 @@ def silver_as_of(spark, folder):
 def silver_incremental_merge(spark, folder):
     """Only events past the watermark are merged, into a table that already has the earlier ones."""
     lake = filled_log(spark, folder, ("orders",), "watermark")
-    merge_new_events(lake, EPOCH, "first", updated_at(1), ("orders",))
-    compact(lake, ("orders",))
-    merge_new_events(lake, WATERMARK, "second", updated_at(2), ("orders",))
+    merge_new_events(lake, EPOCH, updated_at(1), ("orders",))
+    merge_new_events(lake, WATERMARK, updated_at(2), ("orders",))
     return order_state(lake.state("orders")).drop("_silver_updated_at")
 
 
@@ -480,7 +479,7 @@ def gold_batch_refresh(spark, folder):
     """Log, current state and reports by the batch path; the sales report is returned."""
     names = ("orders", "order_items", "products")
     lake = filled_log(spark, folder, names, "batch")
-    merge_new_events(lake, EPOCH, "first", updated_at(1), names)
+    merge_new_events(lake, EPOCH, updated_at(1), names)
     refresh_reports(lake, ("products",))
     return lake.reports()["daily_revenue"]
 

@@ -65,6 +65,7 @@ class Entity(NamedTuple):
     key: tuple[str, ...]
     columns: dict[str, T.DataType]
     layout: tuple[str, str]  # partition transform and its column
+    clustered: str | None  # column whose hash puts rows into buckets: only of the large tables, joined by it
     renamed: dict[str, str] = {}  # column -> field of the source row
 
     def source_field(self, column: str) -> str:
@@ -97,7 +98,7 @@ ENTITIES: dict[str, Entity] = {
                 order_id=TEXT, customer_id=TEXT, status=TEXT, purchased_at=CLOCK, approved_at=CLOCK,
                 delivered_carrier_at=CLOCK, delivered_customer_at=CLOCK, estimated_delivery_date=DAY,
             ),
-            ("month", "purchased_at"),
+            ("month", "purchased_at"), "order_id",
             dict(
                 status="order_status", purchased_at="order_purchase_timestamp",
                 approved_at="order_approved_at", delivered_carrier_at="order_delivered_carrier",
@@ -111,7 +112,7 @@ ENTITIES: dict[str, Entity] = {
                 order_id=TEXT, order_item_id=WHOLE, product_id=TEXT, seller_id=TEXT,
                 shipping_limit_date=CLOCK, price=MONEY, freight_value=MONEY,
             ),
-            ("bucket", "order_id"),
+            ("bucket", "order_id"), "order_id",
         ),
         Entity(
             "customers", ("customer_id",),
@@ -119,7 +120,7 @@ ENTITIES: dict[str, Entity] = {
                 customer_id=TEXT, customer_unique_id=TEXT, customer_zip_code=TEXT,
                 customer_city=TEXT, customer_state=TEXT,
             ),
-            ("identity", "customer_state"),
+            ("identity", "customer_state"), None,
         ),
         Entity(
             "products", ("product_id",),
@@ -128,12 +129,12 @@ ENTITIES: dict[str, Entity] = {
                 product_desc_length=WHOLE, product_photos_qty=WHOLE, product_weight_g=WHOLE,
                 product_length_cm=WHOLE, product_height_cm=WHOLE, product_width_cm=WHOLE,
             ),
-            ("identity", "product_category"),
+            ("identity", "product_category"), None,
         ),
         Entity(
             "sellers", ("seller_id",),
             dict(seller_id=TEXT, seller_zip_code=TEXT, seller_city=TEXT, seller_state=TEXT),
-            ("identity", "seller_state"),
+            ("identity", "seller_state"), None,
         ),
         Entity(
             "order_payments", ("order_id", "payment_sequential"),
@@ -141,7 +142,7 @@ ENTITIES: dict[str, Entity] = {
                 order_id=TEXT, payment_sequential=WHOLE, payment_type=TEXT,
                 payment_installments=WHOLE, payment_value=MONEY,
             ),
-            ("bucket", "order_id"),
+            ("bucket", "order_id"), "order_id",
         ),
         Entity(
             "order_reviews", ("review_id", "order_id"),
@@ -149,7 +150,7 @@ ENTITIES: dict[str, Entity] = {
                 review_id=TEXT, order_id=TEXT, review_score=WHOLE, review_comment_title=TEXT,
                 review_comment_msg=TEXT, review_creation_date=CLOCK, review_answer_date=CLOCK,
             ),
-            ("month", "review_creation_date"),
+            ("month", "review_creation_date"), "order_id",
         ),
     )
 }
@@ -192,3 +193,11 @@ GOLD: dict[str, T.StructType] = {
         delivered=LONG, canceled=LONG, delivery_rate_pct=REAL,
     ),
 }
+
+# How stored reports are split: partition transform and its column, a group's first key.
+GOLD_LAYOUT: dict[str, tuple[str, str]] = {
+    "daily_revenue": ("month", "order_date"),
+    "top_sellers": ("bucket", "seller_id"),
+    "review_sentiment_by_state": ("identity", "customer_state"),
+    "order_funnel": ("month", "order_week"),
+}

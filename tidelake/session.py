@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The rebalance hint before writes splits large and merges small output partitions.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Folders are a table's partitions: what another session wrote is seen without registering it.
+    "spark.sql.hive.manageFilesourcePartitions": "false",
     # Tasks that write into few folders, as here, need no sort by folder first.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

@@ -6,20 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT, Entity
-from tidelake.sources.storage import child_names, exists
+from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT
+from tidelake.sources.storage import exists, first_text
 
-# The column a partition transform is stored in.
-LAYOUT_COLUMN = {"month": "{}_month", "day": "{}_day", "bucket": "{}_bucket", "identity": "{}"}
-LAYOUT_TYPE = {"month": "DATE", "day": "DATE", "bucket": "INT"}
+# The column a partition transform is stored in. A value's folder has a column of its own, as
+# folders cannot hold an empty text.
+LAYOUT_COLUMN = {"month": "{}_month", "day": "{}_day", "bucket": "{}_bucket", "identity": "{}_folder"}
+LAYOUT_TYPE = {"month": "DATE", "day": "DATE", "bucket": "INT", "identity": "STRING"}
 
 
 def _columns(schema: T.StructType, required: tuple[str, ...] = ()) -> list[str]:
     return [f"{f.name} {f.dataType.simpleString()}{' NOT NULL' if f.name in required else ''}" for f in schema]
 
 
-def layout_column(entity: Entity) -> str:
-    kind, column = entity.layout
+def layout_column(layout: tuple[str, str]) -> str:
+    kind, column = layout
     return LAYOUT_COLUMN[kind].format(column)
 
 
@@ -31,17 +32,46 @@ def event_table_ddl(database: str, table: str, location: str, required: tuple[st
     )
 
 
-def state_table_ddl(database: str, entity: Entity, location: str) -> str:
-    columns = _columns(entity.state, entity.required)
-    kind, _ = entity.layout
-    if kind in LAYOUT_TYPE:
-        columns.append(f"{layout_column(entity)} {LAYOUT_TYPE[kind]}")
+def table_ddl(
+    name: str, location: str, schema: T.StructType, layout: tuple[str, str], buckets: int, clustered: str | None = None, required: tuple[str, ...] = ()
+) -> str:
+    """A table partitioned by its layout's column, whose partitions are overwritten one by one."""
+    folder = layout_column(layout)
+    columns = [*_columns(schema, required), f"{folder} {LAYOUT_TYPE[layout[0]]}"]
+    cluster = f"CLUSTERED BY ({clustered}) SORTED BY ({clustered}) INTO {buckets} BUCKETS " if clustered else ""
     return (
-        f"CREATE TABLE IF NOT EXISTS {database}.{entity.name} ({', '.join(columns)}) USING parquet "
-        f"PARTITIONED BY ({layout_column(entity)}) LOCATION '{location}/{entity.name}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+        f"PARTITIONED BY ({folder}) {cluster}LOCATION '{location}'"
     )
 
 
+def declare_table(
+    spark: SparkSession, database: str, name: str, location: str, schema: T.StructType, layout: tuple[str, str], buckets: int, clustered: str | None = None
+) -> str:
+    """The full name of a table over ``location``. An entry of that name over another place gives way; its files stay.
+
+    Its partitions are its folders, so none is registered, and files another session wrote are seen.
+    """
+    full = f"{database}.{name}"
+    if spark.catalog.tableExists(full):
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {full}").collect()}
+        place = described.get("Location", "")
+        if described.get("Type") != "VIEW" and place.removeprefix("file:").rstrip("/") == location.removeprefix("file:").rstrip("/"):
+            return full
+        spark.sql(f"DROP {'VIEW' if described.get('Type') == 'VIEW' else 'TABLE'} {full}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(table_ddl(full, location, schema, layout, buckets, clustered))
+    return full
+
+
+def bucket_count(spark: SparkSession, root: str, wanted: int) -> int:
+    """The number of buckets that tables below ``root`` are made with: the first one ever asked for.
+
+    Files carry their bucket's number, so another count would misread them.
+    """
+    return int(first_text(spark, f"{root}/_buckets", str(wanted)))
+
+
 def _tables_in(spark: SparkSession, database: str) -> list[str]:
     return [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
 
@@ -54,13 +84,13 @@ def create_event_tables(spark: SparkSession, location: str, database: str = "bro
     return _tables_in(spark, database)
 
 
-def create_state_tables(spark: SparkSession, location: str, database: str = "silver", recreate: bool = False) -> list[str]:
-    """Declared current-state tables; ``recreate`` drops them first so that schema changes apply."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_state_tables(spark: SparkSession, location: str, database: str = "silver", buckets: int = 8, recreate: bool = False) -> list[str]:
+    """Declared current-state tables over their folders; ``recreate`` drops the entries first so that schema changes apply."""
+    buckets = bucket_count(spark, location, buckets)
     for entity in ENTITIES.values():
         if recreate:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{entity.name}")
-        spark.sql(state_table_ddl(database, entity, location))
+        declare_table(spark, database, entity.name, f"{location}/{entity.name}", entity.state, entity.layout, buckets, entity.clustered)
     return _tables_in(spark, database)
 
 
@@ -81,27 +111,6 @@ def name_log(spark: SparkSession, log_root: str, database: str = "bronze") -> li
     return named
 
 
-def name_state(spark: SparkSession, state_root: str, database: str = "silver") -> list[str]:
-    """Names for current state: the newest row per key over all parts, also those added later."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    named = [e for e in ENTITIES.values() if child_names(spark, f"{state_root}/{e.name}")]
-    for entity in named:
-        columns, key = ", ".join(entity.state.names), ", ".join(entity.key)
-        newest = "_cdc_source_ts_ms DESC NULLS LAST, _cdc_op <> 'r' DESC NULLS LAST, _cdc_offset DESC NULLS LAST, _silver_updated_at"
-        ranked = f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {newest}) AS __rank FROM parquet.`{state_root}/{entity.name}/*`"
-        _view(spark, database, entity.name, f"SELECT {columns} FROM ({ranked}) WHERE __rank = 1")
-    return [e.name for e in named]
-
-
-def name_reports(spark: SparkSession, places: Mapping[str, str | None], database: str = "gold") -> list[str]:
-    """Names for stored reports, pointed at the folders they now lie in."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    named = {name: place for name, place in places.items() if place}
-    for name, place in named.items():
-        _view(spark, database, name, f"SELECT * FROM parquet.`{place}`")
-    return list(named)
-
-
 def _view(spark: SparkSession, database: str, name: str, text: str) -> None:
     # A declared table of that name gives way to the view, which has the data.
     if any(t.name == name and t.tableType != "VIEW" for t in spark.catalog.listTables(database)):

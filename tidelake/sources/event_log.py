@@ -55,6 +55,21 @@ def read_new_events(spark: SparkSession, root: str, table: str, watermark: datet
     )
 
 
+def log_batches(spark: SparkSession, root: str, table: str) -> set[str]:
+    """The folders of a table's batches, by day, run and batch: names only."""
+    folders = {f"source_table={table}"}
+    for _ in EVENT_FOLDERS.names[1:]:
+        folders = {f"{f}/{n}" for f in folders for n in child_names(spark, f"{root}/{f}") if "=" in n}
+    return folders
+
+
+def read_batches(spark: SparkSession, root: str, table: str, batches: set[str]) -> DataFrame:
+    """Events of the batches that were listed, whatever has come since."""
+    if not batches:
+        return spark.createDataFrame([], EVENT_FILE)
+    return spark.read.schema(EVENT_FILE).option("basePath", root).parquet(*[f"{root}/{b}" for b in sorted(batches)])
+
+
 def stream_events(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
     """Log files not seen before, as a stream: its checkpoint is the watermark.
 

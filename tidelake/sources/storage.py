@@ -20,6 +20,21 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def child_sizes(spark: SparkSession, path: str) -> dict[str, int]:
     fs, p = _path(spark, path)
-    fs.delete(p, True)
+    return {status.getPath().getName(): status.getLen() for status in fs.listStatus(p)} if fs.exists(p) else {}
+
+
+def first_text(spark: SparkSession, path: str, text: str) -> str:
+    """The text of a small file, which is made with ``text`` if there is none."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        out = fs.create(p, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        return text
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(1 << 16)).decode()
+    finally:
+        stream.close()

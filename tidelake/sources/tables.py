@@ -1,128 +1,215 @@
-"""Stored current state and stored reports, as folders of parquet that are never overwritten."""
+"""Stored current state and stored reports: partitioned, bucketed Parquet tables that Spark writes."""
 
 from __future__ import annotations
 
 import re
-import time
-import uuid
+from collections.abc import Iterable
+from datetime import date, datetime
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidelake.functions import bucket_of, folder_of, month_of
 from tidelake.operators.latest import latest_per_key, recency
-from tidelake.schemas import Entity
-from tidelake.sources.storage import child_names, exists, remove
+from tidelake.operators.merge import merge
+from tidelake.schemas import GOLD, GOLD_LAYOUT, Entity
+from tidelake.session import scratch_folder
+from tidelake.sources.catalog import declare_table, layout_column
+from tidelake.sources.storage import child_names, child_sizes
 
-_DONE = "_SUCCESS"
 
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read again: computed once, whatever comes after."""
+    folder = scratch_folder(rows.sparkSession, label)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
-class Parts:
-    """``root/<part>/*.parquet``. Every attempt to write has a folder of its own, so a repeated, lost
-    or competing attempt never touches another one's rows. Complete parts carry Spark's own mark."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+def same(left: str, right: str, columns: Iterable[str]) -> Column:
+    """Equal in all columns, nulls included."""
+    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    out = tests[0]
+    for test in tests[1:]:
+        out = out & test
+    return out
 
-    def parts(self, kind: str = "") -> list[str]:
-        names = [n for n in child_names(self.spark, self.root) if n.startswith(kind)]
-        return sorted(n for n in names if exists(self.spark, f"{self.root}/{n}/{_DONE}"))
 
-    def _write(self, rows: DataFrame, name: str) -> str:
-        rows.select(*self.schema.names).write.parquet(f"{self.root}/{name}")
-        return name
+class Changes(NamedTuple):
+    """What a batch did to a table: rows of its keys as they were, and as the batch has them."""
 
-    def _read(self, names: list[str]) -> DataFrame:
-        if not names:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{n}" for n in names])
+    before: DataFrame
+    after: DataFrame
 
-    def _drop(self, names: list[str]) -> None:
-        for name in names:
-            remove(self.spark, f"{self.root}/{name}")
 
+class PartitionedTable:
+    """One table over ``root``, declared with a partition per month, bucket or value of a column.
 
-def _stamp() -> str:
-    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
-
-
-class StateTable(Parts):
-    """One typed row per key, resolved when it is read.
-
-    A batch appends its newest row per key as a ``change`` part and leaves the rest of the table
-    alone. A reader takes the newest row of each key, so parts may come in any order, more than once
-    and from several writers. ``compact`` folds the parts it has listed into one ``base`` part and
-    then removes just those; ``replace`` does the same with rows made anew from the whole log.
+    ``clustered`` adds buckets by hash of a column, the same number for all tables, so that tables
+    clustered alike are joined without an exchange. The partition column is derived and comes
+    after the table's own. Rows are replaced by partition: Spark writes the new files beside the
+    old ones and swaps whole folders when it commits. One writer at a time; readers that are at a
+    partition while it is swapped have to start again.
     """
 
-    def __init__(self, spark: SparkSession, root: str, entity: Entity, files: int = 8):
-        super().__init__(spark, root, entity.state)
-        self.entity, self.files = entity, files
-
-    def append(self, staged: DataFrame, made_by: str) -> str | None:
-        """Add a batch; a batch of that name that is there already is not added again. None: no row."""
-        name = f"change-{re.sub('[^A-Za-z0-9]', '_', made_by)}-"
-        if there := self.parts(name):
-            return there[0]
-        counted = Observation()
-        part = self._write(staged.observe(counted, F.count(F.lit(1)).alias("n")), f"{name}{uuid.uuid4().hex[:12]}")
-        if counted.get["n"]:
-            return part
-        self._drop([part])
-        return None
-
-    def read(self) -> DataFrame:
-        base, changes = self.parts("base-"), self.parts("change-")
-        if len(base) == 1 and not changes:
-            return self._read(base)
-        if len(base) == 1:
-            return self._resolved(self._read(base), self._newest(self._read(changes)))
-        return self._newest(self._read(base + changes))
-
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        order = [part.desc_nulls_last() for part in recency()]
-        return latest_per_key(rows, self.entity.key, [*order, F.col("_silver_updated_at").asc()])
-
-    def _resolved(self, base: DataFrame, staged: DataFrame) -> DataFrame:
-        """Base rows, replaced where a newer change is there, and the changes of other keys.
-
-        While the changes are few, Spark sends them to the base: it is neither exchanged nor sorted.
+    def __init__(self, spark: SparkSession, database: str, name: str, root: str, schema: T.StructType, layout: tuple[str, str], buckets: int, clustered: str | None = None):
+        self.spark, self.schema, self.layout, self.buckets, self.clustered = spark, schema, layout, buckets, clustered
+        self.root, self.folder = root.rstrip("/"), layout_column(layout)
+        self.name = declare_table(spark, database, name, self.root, schema, layout, buckets, clustered)
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows of the table's columns with the partition each belongs to."""
+        kind, column = self.layout
+        by_kind = {"month": lambda: month_of(F.col(column)), "bucket": lambda: bucket_of(self.buckets, F.col(column)), "identity": lambda: folder_of(F.col(column))}
+        return rows.select(*self.schema.names, by_kind[kind]().alias(self.folder))
+
+    def _folders(self) -> dict:
+        """Partition values and the names of their folders."""
+        read = {"month": date.fromisoformat, "bucket": int, "identity": str}[self.layout[0]]
+        names = [n for n in child_names(self.spark, self.root) if n.startswith(f"{self.folder}=")]
+        texts = {n: unquote(n.removeprefix(f"{self.folder}=")) for n in names}
+        return {None if text == "__HIVE_DEFAULT_PARTITION__" else read(text): n for n, text in texts.items()}
+
+    def partitions(self) -> set:
+        """Values of the partitions that have files."""
+        return {value for value, files in self._files().items() if files}
+
+    def _files(self) -> dict:
+        return {value: frozenset(n for n in child_names(self.spark, f"{self.root}/{folder}") if n.endswith(".parquet")) for value, folder in self._folders().items()}
+
+    def bucket_sizes(self) -> list[int]:
+        """Bytes of each bucket over all partitions, from the files' names."""
+        sizes = [0] * self.buckets
+        for folder in self._folders().values():
+            for name, size in child_sizes(self.spark, f"{self.root}/{folder}").items():
+                if bucket := re.search(r"_(\d+)\.c\d+\.", name):
+                    sizes[int(bucket[1])] += size
+        return sizes
+
+    def whole(self, bucketed: bool = True) -> DataFrame:
+        """All columns, the partition's included. Not ``bucketed``: the same files, whose joins exchange
+        both sides, so that a key too large for its bucket can be split."""
+        if not bucketed and self._folders():
+            columns = T.StructType([*self.schema.fields, self.spark.table(self.name).schema[self.folder]])
+            return self.spark.read.schema(columns).option("basePath", self.root).parquet(self.root)
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
+
+    def in_use(self, placed: DataFrame) -> set:
+        """The partitions that placed rows fall into."""
+        return {r[0] for r in placed.select(self.folder).distinct().collect()}
+
+    def of(self, partitions: Iterable) -> Column:
+        """A test for being in one of some partitions, which reach the scan as a partition filter."""
+        values = set(partitions)
+        known = F.col(self.folder).isin(sorted(values - {None})) if values - {None} else F.lit(False)
+        return known | F.col(self.folder).isNull() if None in values else known
+
+    def read(self, partitions: Iterable | None = None, bucketed: bool = True) -> DataFrame:
+        rows = self.whole(bucketed)
+        return (rows if partitions is None else rows.where(self.of(partitions))).select(*self.schema.names)
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """Replace the partitions that the placed ``rows`` fall into. Others keep their files."""
+        spread = rows.repartition(self.buckets, self.clustered) if self.clustered else rows.hint("rebalance", self.folder)
+        spread.write.insertInto(self.name, overwrite=True)
+
+    def overwrite_all(self, rows: DataFrame, partitions: set) -> None:
+        """Replace those of ``partitions`` that the placed ``rows`` fall into, and empty the others."""
+        before = self._files()
+        self.overwrite(rows)
+        after = self._files()
+        self.clear(value for value in partitions if before.get(value) and before[value] == after.get(value))
+
+    def clear(self, partitions: Iterable) -> None:
+        """Empty some partitions."""
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema)
+        for value in partitions:
+            literal = "NULL" if value is None else str(value) if self.layout[0] == "bucket" else f"DATE'{value}'" if self.layout[0] == "month" else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({self.folder} = {literal}) SELECT {nothing} WHERE false")
+
+
+class StateTable(PartitionedTable):
+    """One typed row per key. Merging a batch rewrites the partitions it touches and no others."""
+
+    def __init__(self, spark: SparkSession, database: str, root: str, entity: Entity, buckets: int = 8):
+        super().__init__(spark, database, entity.name, root, entity.state, entity.layout, buckets, entity.clustered)
+        self.entity = entity
+
+    def between(self, since: datetime | None, until: datetime | None) -> DataFrame:
+        """Rows whose layout column is in [since, until); only their months are read."""
+        kind, column = self.layout
+        if kind != "month":
+            raise ValueError(f"{self.entity.name} is not laid out by time")
+        rows = self.whole()
+        if since is not None:
+            rows = rows.where((F.col(column) >= F.lit(since)) & (F.col(self.folder) >= F.lit(since.date().replace(day=1))))
+        if until is not None:
+            rows = rows.where((F.col(column) < F.lit(until)) & (F.col(self.folder) <= F.lit(until.date().replace(day=1))))
+        return rows.select(*self.schema.names)
+
+    def merge(self, staged: DataFrame, late_guard: bool = True, delete_keeps_target: bool = False, keep: bool = False) -> tuple[set, Changes | None]:
+        """Apply staged rows, one per key at most, by :func:`tidelake.operators.merge.merge`.
+
+        Returns the partitions rewritten, none without rows, and with ``keep`` what was changed.
+        The partitions touched are those the batch falls into and those its keys are in now: a row
+        whose month changes leaves one and enters another. Where the key does not tell the
+        partition, the table's keys are read to find it. A partition that loses its last row is
+        emptied first; a batch lost on the way can be repeated, and brings back what it moved.
+        """
+        batch = stored(self.placed(staged), f"staged-{self.entity.name}")
+        touched = self.in_use(batch)
+        if not touched:
+            return set(), None
+        there, key = self.partitions(), list(self.entity.key)
+        moves = False
+        twice = False
+        if there and self.layout[1] not in key:
+            where = self.whole().select(*key, self.folder).alias("old").join(batch.select(*key, self.folder).alias("new"), key)
+            found = stored(where.select(*key, F.col(f"old.{self.folder}").alias("at"), F.col(f"new.{self.folder}").alias("goes")), f"places-{self.entity.name}")
+            places = found.groupBy("at").agg(F.count_if(~F.col("at").eqNullSafe(F.col("goes"))).alias("moved"), F.count("*").alias("n")).collect()
+            touched |= {r["at"] for r in places}
+            moves = any(r["moved"] for r in places)
+            # Only after a commit that broke off between two folders is a key in both.
+            twice = moves and found.select(*key).distinct().count() < sum(r["n"] for r in places)
+        rows = self.read(touched & there)
+        if twice:
+            rows = latest_per_key(rows, key, [part.desc_nulls_last() for part in recency()])
+        batch = batch.select(*self.schema.names)
+        changes = None
+        if keep:
+            old, new = rows.alias("old"), batch.alias("new")
+            changes = Changes(stored(old.join(new, same("old", "new", key), "left_semi"), f"before-{self.entity.name}"), batch)
+        merged = self.placed(merge(rows, batch, self.entity, late_guard, delete_keeps_target))
+        if moves:
+            merged = stored(merged, f"merged-{self.entity.name}")
+            self.clear((touched & there) - self.in_use(merged))
+        self.overwrite(merged)
+        return touched, changes
+
+    def replace(self, rows: DataFrame) -> None:
+        """Make ``rows`` the whole table."""
+        self.overwrite_all(self.placed(rows), self.partitions())
+
+
+class ReportTable(PartitionedTable):
+    """A stored result, replaced whole or by group."""
+
+    def __init__(self, spark: SparkSession, database: str, name: str, root: str, buckets: int = 8):
+        super().__init__(spark, database, name, root, GOLD[name], GOLD_LAYOUT[name], buckets)
+        self.group = GOLD_LAYOUT[name][1]
+
+    def publish(self, rows: DataFrame) -> None:
+        """Make ``rows`` the whole report."""
+        self.overwrite_all(self.placed(rows.select(*self.schema.names)), self.partitions())
+
+    def replace_groups(self, groups: DataFrame, rows: DataFrame) -> set:
+        """Put ``rows`` in place of all rows of ``groups`` (one column, the report's first key); returns the partitions touched.
+
+        Partitions without such a group are neither read nor written.
         """
-        key = list(self.entity.key)
-        old, new = base.alias("old"), staged.alias("new")
-        newer = F.col("new.is_deleted").isNotNull() & (F.struct(*recency("new")) > F.struct(*recency("old")))
-        joined = old.join(new, [F.col(f"old.{c}") == F.col(f"new.{c}") for c in key], "left")
-        kept = joined.select(*[F.when(newer, F.col(f"new.{n}")).otherwise(F.col(f"old.{n}")).alias(n) for n in self.schema.names])
-        known = base.select(*key).join(staged.select(*key), key, "left_semi")
-        return kept.unionByName(staged.join(known, key, "left_anti"))
-
-    def compact(self) -> str | None:
-        """Fold all parts into one. Readers that started before should have ended."""
-        listed = self.parts()
-        if len(listed) < 2 and not self.parts("change-"):
-            return None
-        return self._fold(self._newest(self._read(listed)), listed)
-
-    def replace(self, rows: DataFrame) -> str:
-        """Make ``rows``, which hold all that the listed parts hold, the whole table."""
-        return self._fold(rows, self.parts())
-
-    def _fold(self, rows: DataFrame, listed: list[str]) -> str:
-        part = self._write(rows.repartition(self.files, *self.entity.key), f"base-{_stamp()}")
-        self._drop(listed)
-        return part
-
-
-class ReportTable(Parts):
-    """A stored result that is replaced whole: the newest complete part is the table."""
-
-    def publish(self, rows: DataFrame, keep: int = 2) -> str:
-        part = self._write(rows, f"report-{_stamp()}")
-        self._drop(self.parts()[:-keep])  # the one before stays for readers that are at it
-        return part
-
-    def place(self) -> str | None:
-        """The folder of the newest part, for a catalog entry."""
-        names = self.parts()
-        return f"{self.root}/{names[-1]}" if names else None
-
-    def read(self) -> DataFrame:
-        return self._read(self.parts()[-1:])
+        shaped = groups.select(*[F.col(f.name) if f.name == self.group else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema])
+        touched = self.in_use(self.placed(shaped))
+        kept = self.read(touched).alias("kept").join(groups.alias("gone"), same("kept", "gone", [self.group]), "left_anti")
+        self.overwrite_all(self.placed(kept.unionByName(rows.select(*self.schema.names))), touched)
+        return touched

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.plans.pipeline import Lakehouse, apply_events, refresh_reports, side_by_side
 from tidelake.sources.event_log import stream_events
-from tidelake.streaming.ingest import TRIGGER, query_id
+from tidelake.streaming.ingest import TRIGGER
 
 
 def start_state(
@@ -32,13 +32,12 @@ def start_state(
     last = [datetime.min]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        made_by = f"{query_id(batch)}/{batch_id}"
         # A folder name per row, of which the captured tables' are kept: seven rows at most.
         known = batch.filter(F.col("source_table").isin(*lake.entities)).select("source_table")
         present = {row[0] for row in known.distinct().collect()}
 
-        def one(name: str) -> str | None:
-            return apply_events(lake, name, batch.filter(F.col("source_table") == name), made_by, updated_at)
+        def one(name: str) -> None:
+            apply_events(lake, name, batch.filter(F.col("source_table") == name), updated_at)
 
         changed = [name for name in lake.entities if name in present]
         side_by_side(lake.spark, one, changed)
