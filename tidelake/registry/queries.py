@@ -28,7 +28,7 @@ from tidelake.streaming.ingest import DRAIN
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SHARED_BUCKETS = 8
+SHARED_BUCKETS = 2
 WATERMARK = datetime(2024, 1, 1, 0, 0, 30)
 
 
