@@ -14,6 +14,8 @@ from tidelake.operators import (
 )
 from tidelake.operators.envelope import MALFORMED
 from tidelake.plans import analytics, gold, metrics, quality
+from tidelake.plans.delta import refresh_changed
+from tidelake.plans.distinct import daily_bitmaps, rolled_up
 from tidelake.plans.pipeline import (
     EPOCH, Lakehouse, apply_events, merge_new_events, rebuild, refresh_reports, side_by_side, stage,
 )
@@ -22,6 +24,7 @@ from tidelake.session import configure, scratch_folder
 from tidelake.sources import shop_sample as shop
 from tidelake.sources.event_log import append_events, read_new_events
 from tidelake.sources.files import EXPORT_FILES, load_csv, read_record_files
+from tidelake.sources.tables import stored
 from tidelake.streaming import start_ingest, start_state
 from tidelake.streaming.ingest import DRAIN
 
@@ -444,6 +447,24 @@ def silver_incremental_merge(spark, folder):
     return order_state(lake.state("orders")).drop("_silver_updated_at")
 
 
+def moved_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A later update of every seventh order: bought 45 days later, or at no known time."""
+    number = F.col("order_id").cast("bigint")
+    rows = stage(events(spark, folder, "orders"), ENTITIES["orders"], updated_at(4)).where(number % 7 == 0)
+    later = F.when(number % 35 != 0, F.col("purchased_at") + F.make_dt_interval(days=F.lit(45)))
+    changed = {"purchased_at": later, "_cdc_op": F.lit("u"), "_cdc_source_ts_ms": F.lit(shop.T0_MS + 9000), "_cdc_offset": number * 6 + 5, "is_deleted": F.lit(False)}
+    return rows.withColumns(changed)
+
+
+@query
+def silver_partitioned_merge(spark, folder):
+    """Orders merged by month in four batches, of which the last moves rows to other months; with the folder each row lies in."""
+    lake = published(spark, folder, ("orders",))
+    table = lake.state_table("orders")
+    table.merge(moved_orders(spark, folder))
+    return table.whole().select("order_id", "status", "purchased_at", "is_deleted", "purchased_at_month")
+
+
 @query
 def silver_full_rebuild(spark, folder):
     lake = filled_log(spark, folder, ("orders",), "rebuild")
@@ -484,6 +505,46 @@ def gold_batch_refresh(spark, folder):
     return lake.reports()["daily_revenue"]
 
 
+@query
+def gold_delta_refresh(spark, folder):
+    """All reports, computed whole after a first batch and by difference after three more, with deletes and moved orders."""
+    lake = Lakehouse(spark, scratch_folder(spark, "delta"), SHARED_BUCKETS)
+
+    read = {name for names in gold.READS.values() for name in names}
+
+    def merged(batch: int, names=read) -> dict:
+        def one(name: str):
+            records = shop.changes(spark, folder, name).filter(F.col("batch") == batch)
+            return apply_events(lake, name, events_of(parsed(records)), updated_at(batch), keep=True)
+
+        found = side_by_side(spark, one, names)
+        return {name: changes for name, (_, changes) in found.items() if changes}
+
+    merged(1)
+    refresh_reports(lake)
+    refresh_changed(lake, merged(2))
+    refresh_changed(lake, merged(3, ("orders",)))  # the only events of that batch
+    _, changes = lake.state_table("orders").merge(moved_orders(spark, folder), keep=True)
+    refresh_changed(lake, {"orders": changes})
+
+    def listed(name: str, group: Column, label: str, amount: str | None, count: str) -> DataFrame:
+        value = F.col(amount) if amount else F.lit(None)
+        return lake.report_table(name).read().select(F.lit(name).alias("report"), group.cast("string").alias("group_key"), F.col(label).alias("label"), value.cast("decimal(20,2)").alias("amount"), F.col(count).alias("row_count"))
+
+    return listed("daily_revenue", F.col("order_date"), "category", "total_revenue", "order_count").unionByName(
+        listed("top_sellers", F.col("seller_id"), "seller_state", "gmv", "total_orders")).unionByName(
+        listed("review_sentiment_by_state", F.col("customer_state"), "customer_state", None, "review_count")).unionByName(
+        listed("order_funnel", F.to_date("order_week"), "order_week", None, "total_created").withColumn("label", F.lit(None).cast("string")))
+
+
+@query
+def gold_distinct_rollup(spark, folder):
+    """Distinct orders and customers of delivered sales by day, week and month, from one stored table of daily bitmaps."""
+    bitmaps = stored(daily_bitmaps(shop.current_tables(spark, folder, gold.READS["daily_revenue"])), "bitmaps")
+    grains = {"day": F.col("order_date"), "week": F.trunc("order_date", "week"), "month": F.trunc("order_date", "month")}
+    return reduce(DataFrame.unionByName, [rolled_up(bitmaps, period).select(F.lit(grain).alias("grain"), "period", "orders", "customers") for grain, period in grains.items()])
+
+
 # ---- quality ------------------------------------------------------------------------------------
 
 
@@ -528,6 +589,10 @@ named("metrics_bronze_throughput", lambda spark, folder: metrics.log_throughput(
 named("metrics_bronze_span", lambda spark, folder: metrics.log_span(events(spark, folder)))
 named("metrics_e2e_latency", lambda spark, folder: metrics.commit_latency(events(spark, folder, "orders")))
 named("metrics_e2e_latency_approx", lambda spark, folder: metrics.approx_rank_check(events(spark, folder, "orders")))
+named(
+    "metrics_e2e_latency_sketches",
+    lambda spark, folder: metrics.sketch_rank_check(events(spark, folder), stored(metrics.hourly_sketches(events(spark, folder)), "sketches")),
+)
 named(
     "metrics_batch_latency_by_table",
     lambda spark, folder: metrics.latency_by_table(events(spark, folder), F.col("_cdc_ingested_at")),
