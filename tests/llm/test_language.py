@@ -61,12 +61,12 @@ def test_windows_cover_whole_texts():
 
 def test_identify(spark):
     rows = [(i, (EN if i % 2 else FR) * (1 + i % 5), "en" if i % 2 else "fr", "s", 0) for i in range(80)]
-    odd = [(None, EN, None, None, 1), (900, None, "en", "s", 1), (901, "", "fr", "s", 1), (902, "12 34 !!", "en", "s", 1), (903, FR * 4000, None, "s", 1), (1, EN, "en", "s", 1)]
+    odd = [(None, EN, None, None, 1), (900, None, "en", "s", 1), (901, "", "fr", "s", 1), (902, "12 34 !!", "en", "s", 1), (904, "½ ² 12 ① ٣", "en", "s", 1), (903, FR * 4000, None, "s", 1), (1, EN, "en", "s", 1)]
     frame = spark.createDataFrame(rows + odd, SCHEMA)
     got = identify(frame, frame.where("doc_id < 60")).collect()
     assert len(got) == len(rows + odd) and all(0 <= r.score <= 1 for r in got)
     by_id = {r.doc_id: r.lang_pred for r in got}
-    assert by_id[900] == by_id[901] == by_id[902] == "und" and by_id[903] == "fr" and by_id[None] == "en"
+    assert by_id[900] == by_id[901] == by_id[902] == by_id[904] == "und" and by_id[903] == "fr" and by_id[None] == "en"
     assert {r.lang_pred for r in identify(frame, frame.limit(0)).collect()} == {"und"}
     assert identify(frame.limit(0), frame).count() == 0
 
@@ -75,6 +75,7 @@ def test_sample_is_bounded(spark):
     frame = spark.createDataFrame([(i, EN * (1 + i), "en" if i % 9 else "fr", "s", 0) for i in range(90)], SCHEMA)
     got = sample(frame, rows=7, chars=40)
     assert len(got) == 14 and max(len(text) for text, _ in got) <= 40
+    assert {lang for _, lang in sample(frame, languages=1)} == {"en"}
 
 
 def test_held_out_accuracy(spark):

@@ -25,14 +25,15 @@ def normal(line):
     return " ".join(W.findall(low))
 
 
-def plain(rows, least, share):
-    """doc rows (doc_id, text, host) to (base, failed, kept, clean text)."""
+def plain(rows, least, share, class_of=None):
+    """doc rows (doc_id, text, host) to (base, failed, kept, clean text); texts of one class count once."""
+    class_of = class_of or {}
     holds, totals = defaultdict(set), defaultdict(set)
     for _, text, host in rows:
-        totals[host].add(text or "")
+        totals[host].add(class_of.get(text, text or ""))
         for line in (text or "").split("\n"):
             if normal(line):
-                holds[host, normal(line)].add(text)
+                holds[host, normal(line)].add(class_of.get(text, text))
     shared = {k for k, v in holds.items() if len(v) > least and len(v) > share * len(totals[k[0]])}
     out = []
     for doc_id, text, host in rows:

@@ -35,6 +35,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """A column name that none of ``columns`` has, in any case: ``wanted``, or that with underscores."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def slices(texts: list[str | None], most_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``most_chars`` characters; a longer text stands alone."""
     begin = size = 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,8 @@ EMBEDDING = 12
 # The training sample: rows of each language at most, and characters of each row around a hashed place.
 ROWS_PER_LANGUAGE = 600
 SAMPLE_CHARS = 512
-_LETTER = re.compile(r"[^\W\d_]")
+# Languages that are learned at most, the most frequent ones; a column with more names is no label.
+LANGUAGES = 500
 _BATCH = 64
 
 
@@ -122,19 +122,27 @@ def predict(net: Network, tables: list[np.ndarray], texts: list[bytes]) -> np.nd
     return np.add.reduceat(out, starts) / np.diff(starts, append=len(x))[:, None] if len(x) else out
 
 
-def sample(labelled: DataFrame, *, rows: int = ROWS_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
+def has_letter(text: str) -> bool:
+    """Number signs such as a half or a raised two are no letters."""
+    return any(map(str.isalpha, text))
+
+
+def sample(labelled: DataFrame, *, rows: int = ROWS_PER_LANGUAGE, chars: int = SAMPLE_CHARS, languages: int = LANGUAGES) -> list[tuple[str, str]]:
     """A bounded sample of (text, lang): ``rows`` of each language by hash order, ``chars`` of each from a hashed place.
 
+    Of more than ``languages`` languages the most frequent ones are taken, of equals the first.
+
     The rank is cut within each map task, so a frequent language sends ``rows`` rows per task.
     """
     from pyspark.sql import Window
 
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
     place = F.greatest(F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - chars, F.lit(1))), F.lit(0)) + 1
+    frequent = usable.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     piece = usable.select(F.col("lang").cast("string").alias("lang"), F.substring("text", place.cast("int"), F.lit(chars)).alias("text"), F.xxhash64("text", "doc_id").alias("order"))
-    ranked = piece.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))).where(f"rank <= {rows}")
+    ranked = piece.join(frequent, "lang", "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))).where(f"rank <= {rows}")
     found = sorted((r["lang"], r["rank"], r["text"]) for r in ranked.select("lang", "rank", "text").collect())
-    return [(text, lang) for lang, _, text in found if _LETTER.search(text)]
+    return [(text, lang) for lang, _, text in found if has_letter(text)]
 
 
 def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -153,7 +161,7 @@ def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-            known = [i for i, text in enumerate(texts) if net.labels and text and _LETTER.search(text)]
+            known = [i for i, text in enumerate(texts) if net.labels and text and has_letter(text)]
             for begin in range(0, len(known), 256):
                 part = known[begin : begin + 256]
                 for i, p in zip(part, predict(net, tables, [texts[i].encode() for i in part]), strict=True):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidelake.llm.common import map_batches, stored
+from tidelake.llm.common import free_name, map_batches, stored
 
 _SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -129,7 +129,11 @@ def judge(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOC
 
 
 def keep_good(docs: DataFrame, host: str = "source", *, min_documents: int = MIN_DOCUMENTS, share: float = HOST_SHARE, classes: DataFrame | None = None) -> DataFrame:
-    """``docs``, all columns, without rejected documents and with shared lines cut from ``text``; ``classes`` as in ``shared_lines``."""
+    """``docs``, all columns, without rejected documents and with shared lines cut from ``text``; ``classes`` as in ``shared_lines``.
+
+    A null or empty text has no words and is rejected; repeated rows are judged and kept alike; a
+    null host is one of its own; other columns stay as they are; no rows give no rows.
+    """
     names = docs.columns
     at = names.index("text")
 
@@ -151,7 +155,9 @@ def _with_lines(docs: DataFrame, host: str, text: str, shared: DataFrame, finish
     key = F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("")), F.col(host).isNull(), F.col(text))
     lined = map_batches(docs.select(key.alias("row"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text")), _row_lines, "row bigint, line_key bigint")
     found = lined.join(shared, "line_key", "left_semi").groupBy("row").agg(F.collect_set("line_key").alias("__shared"))
-    joined = docs.withColumn("__row", key).join(found.withColumnRenamed("row", "__row"), "__row", "left").select(*docs.columns, F.coalesce("__shared", F.array().cast("array<bigint>")).alias("__shared"))
+    row, lines = free_name(docs.columns, "__row"), free_name(docs.columns, "__shared")
+    named = found.select(F.col("row").alias(row), F.col("__shared").alias(lines))
+    joined = docs.withColumn(row, key).join(named, row, "left").select(*docs.columns, F.coalesce(lines, F.array().cast("array<bigint>")).alias(lines))
     return map_batches(joined, _judged(docs.columns, host, text, finish, None), schema)
 
 

@@ -142,7 +142,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 def _shingles(table: str, key: str) -> str:
     words = _WORDS.format(_LOWER.format("text"))
-    return f"""SELECT DISTINCT {key}, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT {key}, {words} AS w, unnest(range(1, greatest(len({words}) - 3, 1))) AS i FROM {table})"""
+    return f"""SELECT DISTINCT {key}, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM (SELECT {key}, {words} AS w FROM {table})"""
 
 
 # Every item of the test tables has five words or more; shorter ones are held against loops in the tests.

@@ -214,20 +214,3 @@ def _flips(part: list[int], threshold: int) -> list[int]:
 
 def hex_fingerprint(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
-
-
-def one_of_each_group(docs: DataFrame, *, distance: int = 2) -> DataFrame:
-    """``docs``, all columns, with one row of each group of close fingerprints: its smallest doc_id.
-
-    Of rows with that id, or of a group without any id, one row stays. Rows are chosen in a table
-    of ids and fingerprints; the texts meet the chosen keys in one join.
-    """
-    prints = stored(fingerprints(docs), "simhash-prints")
-    grouped = near_groups(prints, distance=distance)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
-    chosen = grouped.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.row_key").alias("__row_key"))
-    chosen = stored(chosen.distinct(), "simhash-chosen")
-    kept = docs.withColumn("__row_key", F.xxhash64("doc_id", "text")).join(chosen, "__row_key", "left_semi")
-    if not prints.join(chosen, F.col("row_key") == F.col("__row_key"), "left_semi").groupBy("row_key").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__row_key"])  # rows alike in id and text
-    return kept.select(*docs.columns)
