@@ -16,6 +16,7 @@ from tidelake.operators.extract import extract
 from tidelake.operators.latest import latest_change
 from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
+from tidelake.session import configure
 from tidelake.sources.catalog import bucket_count
 from tidelake.sources.event_log import append_events, log_batches, read_batches, read_events, read_new_events
 from tidelake.sources.tables import Changes, ReportTable, StateTable
@@ -68,6 +69,7 @@ class Lakehouse:
     named: bool = False
 
     def __post_init__(self) -> None:
+        configure(self.spark)  # tables made without it would not see their folders
         self.buckets = bucket_count(self.spark, f"{self.root}/silver", self.buckets)
 
     @property
