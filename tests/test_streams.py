@@ -1,16 +1,20 @@
 """Streams: several triggers, restart, failure, checkpoint reset; always the batch result."""
 
+import time
+from datetime import datetime, timedelta, timezone
+
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidelake.operators.envelope import MALFORMED
 from tidelake.plans.pipeline import EPOCH, Lakehouse, merge_new_events, rebuild
 from tidelake.registry.queries import updated_at
-from tidelake.schemas import ENTITIES
+from tidelake.schemas import ENTITIES, EVENT, EVENT_FOLDERS, RECORD
 from tidelake.sources import shop_sample as shop
 from tidelake.sources.files import read_record_files
-from tidelake.streaming import ingest, start_ingest, start_state, state
+from tidelake.sources.event_log import append_events, stream_events
+from tidelake.streaming import ingest, start_histogram, start_ingest, start_state, state
 from tidelake.streaming.ingest import DRAIN
 
 NAMES = ("orders", "customers", "sellers")
@@ -160,7 +164,6 @@ def test_reports_follow_the_tables_they_read(spark, small, tmp_path):
 def test_files_of_any_age_are_read(spark, small, tmp_path):
     """A restored or copied file may be much older than the newest one the stream has seen."""
     import os
-    import time
 
     lake = Lakehouse(spark, str(tmp_path), 2, FEW)
     files = f"{tmp_path}/in"
@@ -175,3 +178,61 @@ def test_files_of_any_age_are_read(spark, small, tmp_path):
         os.utime(path, (long_ago, long_ago))
     advance(lake, f"{tmp_path}/cs", max_files=1)
     assert actual(lake, "sellers") == expected(spark, small, "sellers")
+
+
+def record(offset, value="not json", partition=0):
+    return (None, value.encode(), "shop.public.orders", partition, offset, datetime(2020, 1, 1), 0)
+
+
+def deliver(spark, folder, rows):
+    spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").parquet(folder)
+
+
+def take_once(spark, files, lake, within):
+    query = start_ingest(read_record_files(spark, files), lake.log_root, f"{lake.root}/cp", DRAIN, drop_repeats=within)
+    query.awaitTermination()
+    return [p.stateOperators[0] for p in query.recentProgress]
+
+
+def test_repeated_records_are_dropped_and_odd_ones_kept(spark, tmp_path):
+    """Also across runs and however old the record's own time; without a whole position nothing is a repeat."""
+    lake, files = Lakehouse(spark, str(tmp_path), 2, FEW), f"{tmp_path}/in"
+    deliver(spark, files, [record(1), record(1), record(2), record(1, partition=1), record(None), record(None)])
+    take_once(spark, files, lake, "1 hour")
+    assert lake.events(MALFORMED).count() == 5
+    deliver(spark, files, [record(1), record(2), record(3), record(None)])
+    states = take_once(spark, files, lake, "1 hour")
+    assert lake.events(MALFORMED).count() == 7
+    assert sum(s.numRowsDroppedByWatermark for s in states) == 0
+
+
+def test_positions_leave_the_state_in_time(spark, tmp_path):
+    lake, files = Lakehouse(spark, str(tmp_path), 2, FEW), f"{tmp_path}/in"
+    deliver(spark, files, [record(n) for n in range(50)])
+    take_once(spark, files, lake, "1 second")
+    for n in (100, 101):
+        time.sleep(2)
+        deliver(spark, files, [record(n)])
+        states = take_once(spark, files, lake, "1 second")
+    assert states[-1].numRowsTotal <= 2  # of 52 positions
+    assert lake.events(MALFORMED).count() == 52
+
+
+def test_histogram_stream_closes_stretches_and_counts_what_is_too_late(spark, tmp_path):
+    lake, out = Lakehouse(spark, str(tmp_path), 2, FEW), f"{tmp_path}/histogram"
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+    def arrive(run, *seconds, op="c"):
+        rows = [(op, int(start.timestamp() * 1000) - 1000, 0, start + timedelta(seconds=s), "t", 0, s, None, None, "orders", start.date()) for s in seconds]
+        schema = T.StructType([*EVENT.fields, *EVENT_FOLDERS.fields[:2]])
+        append_events(spark.createDataFrame(rows, schema), lake.log_root, run, 0)
+        query = start_histogram(stream_events(spark, lake.log_root), out, f"{tmp_path}/cp", DRAIN, "10 seconds", "20 seconds")
+        query.awaitTermination()
+        found = spark.read.schema("window_start timestamp_ntz, le string, n bigint").parquet(out)
+        return sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress), {(r[0].second, r[1]): r[2] for r in found.collect()}
+
+    assert arrive("a", 1, 2, 9, 15, 35) == (0, {(0, "5"): 2, (0, "10"): 1})  # closed up to 15
+    late, found = arrive("b", 3, 16)  # beyond the watermark, and inside it
+    assert late == 1 and found == {(0, "5"): 2, (0, "10"): 1}
+    assert arrive("c", 55)[1] == {(0, "5"): 2, (0, "10"): 1, (10, "25"): 2}
+    assert arrive("d", 56, op=None)[1] == {(0, "5"): 2, (0, "10"): 1, (10, "25"): 2}  # no event

@@ -169,6 +169,19 @@ def latency_histogram(events: DataFrame, now: Column) -> DataFrame:
     return counted.select("table_name", _label(F.col("position")).alias("le"), "n")
 
 
+def window_counts(events: DataFrame, clock: str, width: str) -> DataFrame:
+    """Number of events per stretch of ``clock``, table and latency range, of a table or of a stream."""
+    counted = events.groupBy(
+        F.window(clock, width).alias("stretch"), F.col("source_table").alias("table_name"),
+        bound_above(stream_latency(F.col(clock))).alias("position"),
+    ).agg(F.count("*").alias("n"))
+    return counted.select(F.col("stretch.start").cast("timestamp_ntz").alias("window_start"), "table_name", "position", "n")
+
+
+def label_bounds(counted: DataFrame) -> DataFrame:
+    return counted.select("window_start", "table_name", _label(F.col("position")).alias("le"), "n")
+
+
 def latency_p95_over_time(events: DataFrame, now: Column, width: str = "5 minutes", level: float = 0.95) -> DataFrame:
     """A percentile per stretch of time, interpolated inside the histogram range it falls into.
 

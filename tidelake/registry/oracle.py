@@ -397,6 +397,9 @@ ORACLE: dict[str, str] = {
     "bronze_snapshot_encode": _SNAPSHOT,
     "bronze_stream_ingest": history(
         """SELECT entity AS source_table, kind AS _cdc_op, COUNT(*) AS row_count, MIN(seq) AS first_offset, MAX(seq) AS last_offset,
+ COUNT(DISTINCT m%3) AS partitions FROM events GROUP BY 1,2"""),
+    "bronze_stream_dedup": history(
+        """SELECT entity AS source_table, kind AS _cdc_op, COUNT(DISTINCT seq) AS row_count, MIN(seq) AS first_offset, MAX(seq) AS last_offset,
  COUNT(DISTINCT m%3) AS partitions FROM events GROUP BY 1,2"""),
     "bronze_snapshot_times": state(
         """SELECT order_id, purchased_at + INTERVAL '1' MICROSECOND * CAST(m*7919%1000000 AS INT) AS purchased_at, estimated_delivery_date
@@ -477,4 +480,9 @@ ORACLE: dict[str, str] = {
  ROUND(AVG(CAST({_STREAM_LATENCY} AS DECIMAL(20,3))),2) AS avg_latency_s FROM events GROUP BY 1"""),
     "metrics_latency_histogram": history(f"SELECT entity AS table_name, {_le(_STREAM_LATENCY)} AS le, COUNT(*) AS n FROM events GROUP BY 1,2"),
     "metrics_latency_p95_over_time": history(_P95),
+    "metrics_stream_histogram": history(
+        f""", streamed AS (SELECT entity, ts_ms, arrived FROM events
+ UNION ALL SELECT entity, ts_ms, TIMESTAMP '2024-01-01 00:00:50' FROM events WHERE entity='orders' AND kind='d')
+SELECT time_bucket(INTERVAL '10 seconds', arrived) AS window_start, entity AS table_name, {_le(_STREAM_LATENCY)} AS le, COUNT(*) AS n
+FROM streamed GROUP BY 1,2,3"""),
 }

@@ -22,10 +22,10 @@ from tidelake.plans.pipeline import (
 from tidelake.schemas import CLOCK, DAY, ENTITIES, FOREIGN_KEYS
 from tidelake.session import configure, scratch_folder
 from tidelake.sources import shop_sample as shop
-from tidelake.sources.event_log import append_events, read_new_events
+from tidelake.sources.event_log import append_events, read_new_events, stream_events
 from tidelake.sources.files import EXPORT_FILES, load_csv, read_record_files
 from tidelake.sources.tables import stored
-from tidelake.streaming import start_ingest, start_state
+from tidelake.streaming import start_histogram, start_ingest, start_state
 from tidelake.streaming.ingest import DRAIN
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,14 +221,36 @@ def ingested(spark: SparkSession, folder: str, names=tuple(ENTITIES), parts: int
     return lake
 
 
-@query
-def bronze_stream_ingest(spark, folder):
-    return ingested(spark, folder).events().where(F.col("_cdc_op").isNotNull()).groupBy("source_table", "_cdc_op").agg(
+def logged_counts(lake: Lakehouse) -> DataFrame:
+    return lake.events().where(F.col("_cdc_op").isNotNull()).groupBy("source_table", "_cdc_op").agg(
         F.count("*").alias("row_count"), F.min("_cdc_offset").alias("first_offset"),
         F.max("_cdc_offset").alias("last_offset"), F.count_distinct("_cdc_partition").alias("partitions"),
     )
 
 
+@query
+def bronze_stream_ingest(spark, folder):
+    return logged_counts(ingested(spark, folder))
+
+
+@query
+def bronze_stream_dedup(spark, folder):
+    """As ``bronze_stream_ingest``, each position once, from files that hold all records of the later
+    batches a second time; the sample repeats some of the first batch itself. Its records that are no
+    events share an event's position, so they get others, as a broker would give them."""
+    lake = Lakehouse(spark, scratch_folder(spark, "dedup"), SHARED_BUCKETS)
+    no_event = F.col("value").isNull() | (F.col("value") == F.lit("not json").cast("binary"))
+    records = shop.all_changes(spark, folder).withColumn("offset", F.when(no_event, -1 - F.col("offset")).otherwise(F.col("offset")))
+    again = records.where(F.col("batch") > 1)
+    for part in (records, again):
+        part.drop("batch").repartition(4).write.mode("append").parquet(f"{lake.root}/records")
+    start_ingest(
+        read_record_files(spark, f"{lake.root}/records", max_files=3), lake.log_root,
+        f"{lake.root}/checkpoints/ingest", DRAIN, F.col("timestamp"), drop_repeats="1 hour",
+    ).awaitTermination()
+    return logged_counts(lake)
+
+
 @query
 def bronze_stream_malformed(spark, folder):
     """Malformed records stay in the log beside the events, with their text."""
@@ -611,3 +633,26 @@ named(
 def metrics_silver_throughput(spark, folder):
     """From tables published in three batches a minute apart."""
     return metrics.state_throughput(published(spark, folder).tables())
+
+
+def come_late(lake: Lakehouse, run_id: str, arrived: str) -> None:
+    """The deletes of orders once more, as they would stand in the log had they arrived at another time."""
+    deletes = lake.events("orders").where("_cdc_op = 'd' AND run_id NOT LIKE 'late%'").drop("run_id", "batch_id")
+    moment = F.lit(arrived).cast("timestamp")
+    append_events(deletes.withColumns({"_cdc_ingested_at": moment, "ingest_date": F.to_date(moment)}), lake.log_root, run_id, 0)
+
+
+@query
+def metrics_stream_histogram(spark, folder):
+    """Closed stretches of 10 seconds, in three runs of one stream: all events, then deletes that
+    arrive inside the watermark and beyond it, then some an hour later, which close the others."""
+    lake = ingested(spark, folder)
+    late = [(), ("00:00:50", "00:00:05"), ("01:00:00",)]
+    for times in late:
+        for time in times:
+            come_late(lake, f"late-{time.replace(':', '')}", f"2024-01-01 {time}")
+        start_histogram(
+            stream_events(spark, lake.log_root), f"{lake.root}/histogram", f"{lake.root}/checkpoints/histogram",
+            DRAIN, "10 seconds", "20 seconds",
+        ).awaitTermination()
+    return spark.read.parquet(f"{lake.root}/histogram").drop("day")

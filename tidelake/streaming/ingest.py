@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,17 +42,38 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def without_repeats(records: DataFrame, within: str) -> DataFrame:
+    """Records but for those delivered again ``within`` some time of their first delivery.
+
+    A record is told by topic, partition and offset; one that lacks any of these is kept. The clock
+    is that of the delivery, not the record's own: nothing is ever late, so that none is lost,
+    however old it is. The state holds the positions of the last stretch of ``within``.
+    """
+    position = [F.col(n).cast("string") for n in ("partition", "offset", "topic")]
+    known = reduce(Column.__and__, [p.isNotNull() for p in position])
+    marked = records.withColumns({
+        "_position": F.when(known, F.concat_ws(" ", *position)).otherwise(F.expr("uuid()")),
+        "_delivered": F.current_timestamp(),
+    })
+    return marked.withWatermark("_delivered", within).dropDuplicatesWithinWatermark(["_position"]).drop("_position", "_delivered")
+
+
 def start_ingest(
     records: DataFrame,
     log_root: str,
     checkpoint: str,
     trigger: dict | None = None,
     ingested_at: Column | None = None,
+    drop_repeats: str | None = None,
 ) -> StreamingQuery:
     """Parse, measure and append every batch. The measures appear in the query's progress.
 
-    A batch is written by exactly one job; repeated after a failure, it replaces itself.
+    A batch is written by exactly one job; repeated after a failure, it replaces itself. With
+    ``drop_repeats``, a length of time, records delivered again within it are left out, at the
+    cost of an exchange (:func:`without_repeats`).
     """
+    if drop_repeats:
+        records = without_repeats(records, drop_repeats)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         append_events(batch, log_root, query_id(batch), batch_id)
