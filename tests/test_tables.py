@@ -7,10 +7,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidelake.operators import events_of, parse_records
 from tidelake.plans.pipeline import Lakehouse, apply_events, rebuild
-from tidelake.registry.queries import events
+from tidelake.registry.queries import events, updated_at
 from tidelake.schemas import ENTITIES
-from tidelake.sources import append_events, event_log
+from tidelake.sources import append_events, event_log, shop_sample as shop
 
 NOW = dt.datetime(2024, 1, 1)
 
@@ -175,3 +176,28 @@ def test_reports_are_replaced_whole_or_by_group(spark, lake):
     assert files(table)["order_week_month=2024-03-01"] == before["order_week_month=2024-03-01"]
     table.replace_groups(spark.createDataFrame([(dt.datetime(2024, 3, 4),)], "order_week timestamp_ntz"), rows())
     assert counts() == [(1, 1, 3), (2, 5, 6)] and dt.date(2024, 3, 1) not in table.partitions()
+
+
+def test_state_as_of_a_time_starts_from_the_nearest_kept_one(spark, small, tmp_path):
+    """Equal to the whole replay, at kept moments, between them and before the first; only the tail of the log is read."""
+    lake = Lakehouse(spark, str(tmp_path), 2, {"orders": ENTITIES["orders"]})
+    for day in (1, 2, 3):
+        records = shop.changes(spark, small, "orders").where(F.col("batch") == day)
+        arrived = F.timestamp_seconds(F.lit(1_704_067_200 + 86_400 * day + 3600))
+        append_events(events_of(parse_records(records, arrived)), lake.log_root, "run", day)
+    moments = [dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 3, 0, 30), dt.datetime(2024, 1, 3, 5), dt.datetime(2024, 1, 5)]
+
+    def rows(moment, **how):
+        return sorted(map(str, lake.state_as_of("orders", moment, updated_at(0), **how).collect()))
+
+    replayed = [rows(m) for m in moments]
+    assert not replayed[0] and replayed[1] == replayed[2] and replayed[2] != replayed[3] != replayed[4]
+    for moment in (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 4, 0, 0, 0, 5, dt.timezone.utc)):
+        lake.keep_state("orders", moment, updated_at(0))
+    assert [rows(m) for m in moments] == replayed and [rows(m, whole=True) for m in moments] == replayed
+
+    def days(moment):
+        return {f.split("ingest_date=")[1][:10] for f in lake.state_as_of("orders", moment).inputFiles() if "ingest_date=" in f}
+
+    assert "2024-01-02" in days(moments[1]) and "2024-01-02" not in days(moments[3])
+    assert days(moments[4]) == {"2024-01-04"}

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from zlib import crc32
+from zoneinfo import ZoneInfo
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,14 +15,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidelake.operators.envelope import snapshot_events
 from tidelake.operators.extract import extract
 from tidelake.operators.latest import latest_change
+from tidelake.operators.merge import merge
 from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
 from tidelake.session import configure
 from tidelake.sources.catalog import bucket_count
 from tidelake.sources.event_log import append_events, log_batches, read_batches, read_events, read_new_events
-from tidelake.sources.tables import Changes, ReportTable, StateTable
+from tidelake.sources.storage import child_names
+from tidelake.sources.tables import Changes, ReportTable, StateTable, stored
 
 EPOCH = datetime(1970, 1, 1)
+# How a moment is written in a folder's name.
+_STAMP = "%Y%m%dT%H%M%S.%f"
 
 
 class OnDemand(Mapping):
@@ -102,11 +107,49 @@ class Lakehouse:
         sizes = [self.state_table(name).bucket_sizes() for name, entity in self.entities.items() if entity.clustered]
         return not any(max(x) > max(least, factor * sorted(x)[len(x) // 2]) for x in sizes)
 
-    def state_as_of(self, name: str, moment: datetime, updated_at: Column | None = None) -> DataFrame:
-        """What the events ingested up to a moment give."""
+    def state_as_of(self, name: str, moment: datetime, updated_at: Column | None = None, whole: bool = False) -> DataFrame:
+        """What the events ingested up to a moment give.
+
+        The newest state that was kept at or before it (:meth:`keep_state`) is taken, and only the
+        log's days from then on are listed and merged into it; the ``whole`` log is read without
+        one, or as told. Rows of a kept state keep the update time they got there.
+        """
+        entity, moment = self.entities[name], self._local(moment)
         upto = F.lit(moment.isoformat()).cast("timestamp")
-        seen = self.events(name).filter((F.col("ingest_date") <= F.to_date(upto)) & (F.col("_cdc_ingested_at") <= upto))
-        return stage(seen, self.entities[name], updated_at)
+        base = max((x for x in self._kept(name) if x <= moment), default=None) if not whole else None
+        seen = self.events(name) if base is None else read_new_events(self.spark, self.log_root, name, base)
+        seen = seen.filter((F.col("ingest_date") <= F.to_date(upto)) & (F.col("_cdc_ingested_at") <= upto))
+        staged = stage(seen, entity, updated_at)
+        if base is None:
+            return staged
+        folder = self._history(name)
+        kept = self.spark.read.schema(entity.state).option("basePath", folder).parquet(f"{folder}/upto={base:{_STAMP}}")
+        return merge(kept.select(*entity.state.names), staged, entity)
+
+    def keep_state(self, name: str, moment: datetime, updated_at: Column | None = None, whole: bool = False) -> None:
+        """Keep the state as of a moment, an ordinary partition of a table of such states.
+
+        It starts from the state kept before, so that one a day costs a day of the log. Call it
+        when the log has all that was ingested up to then: events that enter the log with an older
+        ingestion time afterwards are in no state that builds on it, until it is kept again from
+        the ``whole`` log.
+        """
+        upto = self._local(moment)
+        rows = self.state_as_of(name, upto, updated_at, whole).withColumn("upto", F.lit(f"{upto:{_STAMP}}"))
+        stored(rows, f"kept-{name}").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upto").parquet(self._history(name))
+
+    def _history(self, name: str) -> str:
+        return f"{self.root}/history/{name}"
+
+    def _kept(self, name: str) -> list[datetime]:
+        """Moments whose state is kept, from the folders' names."""
+        names = [n.removeprefix("upto=") for n in child_names(self.spark, self._history(name)) if n.startswith("upto=")]
+        return [datetime.strptime(n, _STAMP) for n in names]
+
+    def _local(self, moment: datetime) -> datetime:
+        """A moment in the session's zone, without it."""
+        zone = ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone"))
+        return moment.astimezone(zone).replace(tzinfo=None) if moment.tzinfo else moment
 
     def tables(self, bucketed: bool | None = None) -> OnDemand:
         """Current state by name; joined by buckets where they are :meth:`even`, or as told."""

@@ -444,6 +444,11 @@ ORACLE: dict[str, str] = {
             f"SELECT {v} AS version, order_id, {_STATUS[v]} AS status, {_DELETED[v]} AS is_deleted, {_LAST_OP[v][0]} AS _cdc_op FROM s_orders"
             for v in (1, 2, 3)
         ]), "orders"),
+    "silver_as_of_kept": state(
+        _union([
+            f"SELECT {v} AS version, order_id, {_STATUS[v]} AS status, {_DELETED[v]} AS is_deleted, {_LAST_OP[v][0]} AS _cdc_op FROM s_orders"
+            for v in (1, 2, 3)
+        ]), "orders"),
     "dq_gold_not_null": state(
         _union([
             part for view, columns in (

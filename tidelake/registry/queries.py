@@ -460,6 +460,24 @@ def silver_as_of(spark, folder):
     return reduce(DataFrame.unionByName, versions)
 
 
+@query
+def silver_as_of_kept(spark, folder):
+    """As ``silver_as_of``, of batches that come a day apart, from the states kept after the first and the second."""
+    lake = Lakehouse(spark, scratch_folder(spark, "as-of"), SHARED_BUCKETS)
+    for batch in (1, 2, 3):
+        records = shop.changes(spark, folder, "orders").where(F.col("batch") == batch)
+        arrived = F.timestamp_seconds(F.lit(1_704_067_200 + 86_400 * batch))
+        append_events(events_of(parse_records(records, arrived)), lake.log_root, "load", batch)
+        if batch < 3:
+            lake.keep_state("orders", datetime(2024, 1, 1 + batch, 12), updated_at(batch))
+    versions = [
+        lake.state_as_of("orders", datetime(2024, 1, 1 + v, 18), updated_at(v))
+        .select(F.lit(v).alias("version"), "order_id", "status", "is_deleted", "_cdc_op")
+        for v in (1, 2, 3)
+    ]
+    return reduce(DataFrame.unionByName, versions)
+
+
 @query
 def silver_incremental_merge(spark, folder):
     """Only events past the watermark are merged, into a table that already has the earlier ones."""
