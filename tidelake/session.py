@@ -22,8 +22,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Folders are a table's partitions: what another session wrote is seen without registering it.
     "spark.sql.hive.manageFilesourcePartitions": "false",
-    # State of streams lies on the executors' disks and is kept in their checkpoints, not in the heap.
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Tasks that write into few folders, as here, need no sort by folder first.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

@@ -25,7 +25,8 @@ def start_histogram(
     arrival seen is ``delay`` past its end; events that come for it later are left out and counted
     by the query's progress (``numRowsDroppedByWatermark``). The state holds one count per table
     and latency range of the open stretches, whatever the events: they are added up before the
-    exchange, so a table with a third of them costs no more than another.
+    exchange, so a table with a third of them costs no more than another, and the state is small
+    enough for the heap.
     """
     timed = events.where(F.col("_cdc_op").isNotNull()).withWatermark(_CLOCK, delay)
     rows = label_bounds(window_counts(timed, _CLOCK, width)).withColumn("day", F.to_date("window_start"))

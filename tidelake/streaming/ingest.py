@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.operators.envelope import UNROUTED, log_rows, parse_records
@@ -58,6 +60,18 @@ def without_repeats(records: DataFrame, within: str) -> DataFrame:
     return marked.withWatermark("_delivered", within).dropDuplicatesWithinWatermark(["_position"]).drop("_position", "_delivered")
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state on the executors' disks, for states that outgrow the heap."""
+    key, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, store)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_ingest(
     records: DataFrame,
     log_root: str,
@@ -79,7 +93,9 @@ def start_ingest(
         append_events(batch, log_root, query_id(batch), batch_id)
 
     parsed = parse_records(records, ingested_at).observe("ingest", *batch_measures())
-    return (
+    stream = (
         log_rows(parsed).writeStream.queryName("event-log-ingest").foreachBatch(append)
-        .option("checkpointLocation", checkpoint).trigger(**(trigger or TRIGGER)).start()
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or TRIGGER))
     )
+    with state_on_disk(records.sparkSession) if drop_repeats else nullcontext():
+        return stream.start()
