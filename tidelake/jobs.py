@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import os
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -13,6 +13,7 @@ from tidelake.plans.pipeline import EPOCH, Lakehouse, load_snapshot, merge_new_e
 from tidelake.schemas import ENTITIES, GOLD
 from tidelake.session import build_session
 from tidelake.sources.catalog import create_event_tables, create_state_tables, name_log
+from tidelake.sources.event_log import close_days
 from tidelake.sources.files import load_csv
 from tidelake.sources.jdbc import read_table
 from tidelake.sources.kafka import read_topics, topics
@@ -60,6 +61,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     command("rebuild", "replace current state by what the whole log gives")
     command("refresh", "refresh all reports")
 
+    close = command("close-days", "move past days of the log into few sorted files")
+    close.add_argument("--before", type=date.fromisoformat, required=True, help="the first day that stays open")
+    close.add_argument("--checkpoint", action="append", default=[], help="of a stream that reads the log; give all of them")
+
     follow = command("follow", "stream the log into current state and reports")
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--every", default="30 seconds")
@@ -111,6 +116,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         refresh_reports(lake)
     elif args.command == "refresh":
         refresh_reports(lake)
+    elif args.command == "close-days":
+        close_days(spark, lake.log_root, args.before, args.checkpoint)
     elif args.command == "follow":
         trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
         every = timedelta(days=1) if args.once else timedelta(seconds=args.refresh_every)

@@ -20,7 +20,7 @@ from tidelake.plans import gold
 from tidelake.schemas import ENTITIES, GOLD, Entity
 from tidelake.session import configure
 from tidelake.sources.catalog import bucket_count
-from tidelake.sources.event_log import append_events, log_batches, read_batches, read_events, read_new_events
+from tidelake.sources.event_log import append_events, log_batches, read_batches, read_closed, read_events, read_new_events
 from tidelake.sources.storage import child_names
 from tidelake.sources.tables import Changes, ReportTable, StateTable, stored
 
@@ -206,7 +206,7 @@ def rebuild(lake: Lakehouse, updated_at: Column | None = None, names: Iterable[s
 
     def one(name: str) -> None:
         seen = log_batches(lake.spark, lake.log_root, name)
-        events = read_batches(lake.spark, lake.log_root, name, seen)
+        events = read_batches(lake.spark, lake.log_root, name, seen).unionByName(read_closed(lake.spark, lake.log_root, name, seen))
         lake.state_table(name).replace(stage(events, lake.entities[name], updated_at))
         while later := log_batches(lake.spark, lake.log_root, name) - seen:
             seen = seen | later

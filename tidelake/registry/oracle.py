@@ -394,6 +394,10 @@ ORACLE: dict[str, str] = {
         "SELECT entity AS source_table, CAST(arrived AS DATE) AS ingest_date, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE kind='d') AS deletes FROM events GROUP BY 1,2"),
     "bronze_scan": history(LOG_COLUMNS, "orders"),
     "bronze_incremental": history(LOG_COLUMNS + " WHERE arrived > TIMESTAMP '2024-01-01 00:00:30'", "orders"),
+    "bronze_closed_days": history(
+        """, dated AS (SELECT DATE '2024-01-01' + CAST(batch AS INT) AS ingest_date, CASE WHEN seq%4=0 THEN 'late run' ELSE 'run' END AS run_id,
+ CAST(batch AS BIGINT) AS batch_id, kind AS _cdc_op, ts_ms AS _cdc_source_ts_ms, seq AS _cdc_offset FROM events)
+SELECT 'all' AS part, * FROM dated UNION ALL SELECT 'new', * FROM dated WHERE ingest_date > DATE '2024-01-02'""", "orders"),
     "bronze_snapshot_encode": _SNAPSHOT,
     "bronze_stream_ingest": history(
         """SELECT entity AS source_table, kind AS _cdc_op, COUNT(*) AS row_count, MIN(seq) AS first_offset, MAX(seq) AS last_offset,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,7 +22,7 @@ from tidelake.plans.pipeline import (
 from tidelake.schemas import CLOCK, DAY, ENTITIES, FOREIGN_KEYS
 from tidelake.session import configure, scratch_folder
 from tidelake.sources import shop_sample as shop
-from tidelake.sources.event_log import append_events, read_new_events, stream_events
+from tidelake.sources.event_log import append_events, close_days, read_new_events, stream_events
 from tidelake.sources.files import EXPORT_FILES, load_csv, read_record_files
 from tidelake.sources.tables import stored
 from tidelake.streaming import start_histogram, start_ingest, start_state
@@ -189,6 +189,24 @@ def bronze_incremental(spark, folder):
     return log_columns(read_new_events(spark, lake.log_root, "orders", WATERMARK))
 
 
+@query
+def bronze_closed_days(spark, folder):
+    """Orders of a log whose batches came a day apart: the first two days are closed, one at a time, and
+    a late batch comes for the first. What is read since a moment of the second day has the name ``new``."""
+    lake = Lakehouse(spark, scratch_folder(spark, "closed"), SHARED_BUCKETS)
+    for batch in (1, 2, 3):
+        records = shop.changes(spark, folder, "orders").where(F.col("batch") == batch)
+        rows = events_of(parse_records(records, F.timestamp_seconds(F.lit(1_704_067_200 + 86_400 * batch))))
+        late = F.col("_cdc_offset") % 4 == 0
+        append_events(rows.where(~late), lake.log_root, "run", batch)
+        close_days(spark, lake.log_root, date(2024, 1, min(batch + 1, 3)))
+        append_events(rows.where(late), lake.log_root, "late run", batch)
+    parts = {"all": lake.events("orders"), "new": read_new_events(spark, lake.log_root, "orders", datetime(2024, 1, 2, 12))}
+    return reduce(DataFrame.unionByName, [
+        rows.select(F.lit(name).alias("part"), "ingest_date", "run_id", "batch_id", "_cdc_op", "_cdc_source_ts_ms", "_cdc_offset") for name, rows in parts.items()
+    ])
+
+
 def snapshot_loaded(rows: DataFrame, name: str) -> DataFrame:
     loaded = snapshot_events(rows, name, f"shop.public.{name}", F.lit("2024-01-01T00:00:00").cast("timestamp"))
     return loaded.withColumn("_cdc_ingested_at", F.col("_cdc_ingested_at").cast("timestamp_ntz"))

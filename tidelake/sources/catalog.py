@@ -7,13 +7,16 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidelake.schemas import ENTITIES, EVENT, REQUIRED_IN_EVENT
-from tidelake.sources.storage import exists, first_text
+from tidelake.sources.event_log import closed_root
+from tidelake.sources.storage import first_text, has_files
 
 # The column a partition transform is stored in. A value's folder has a column of its own, as
 # folders cannot hold an empty text.
 LAYOUT_COLUMN = {"month": "{}_month", "day": "{}_day", "bucket": "{}_bucket", "identity": "{}_folder"}
 LAYOUT_TYPE = {"month": "DATE", "day": "DATE", "bucket": "INT", "identity": "STRING"}
 
+_LOGGED = ", ".join([*EVENT.names, "ingest_date", "run_id", "CAST(batch_id AS BIGINT) AS batch_id"])
+
 
 def _columns(schema: T.StructType, required: tuple[str, ...] = ()) -> list[str]:
     return [f"{f.name} {f.dataType.simpleString()}{' NOT NULL' if f.name in required else ''}" for f in schema]
@@ -103,11 +106,18 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[st
 
 def name_log(spark: SparkSession, log_root: str, database: str = "bronze") -> list[str]:
     """Names for the log's folders. A view over a folder sees what was appended since, no partition
-    needs to be registered."""
+    needs to be registered. Closed days are in it; a batch that is in both places counts once."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    named = [t for t in ENTITIES if exists(spark, f"{log_root}/source_table={t}")]
-    for table in named:
-        _view(spark, database, table, f"SELECT * FROM parquet.`{log_root}/source_table={table}`")
+    named = []
+    for table in ENTITIES:
+        texts = [f"{root}/source_table={table}" for root in (log_root, closed_root(log_root))]
+        news, old = (f"SELECT {_LOGGED} FROM parquet.`{t}`" if has_files(spark, t) else None for t in texts)
+        if news and old:
+            old = f"SELECT c.* FROM ({old}) c LEFT ANTI JOIN (SELECT DISTINCT ingest_date, run_id, CAST(batch_id AS BIGINT) AS batch_id FROM parquet.`{texts[0]}`) o USING (ingest_date, run_id, batch_id)"
+            old = f"SELECT {_LOGGED} FROM ({old})"  # USING puts its columns first
+        if news or old:
+            _view(spark, database, table, " UNION ALL ".join(x for x in (news, old) if x))
+            named.append(table)
     return named
 
 

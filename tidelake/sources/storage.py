@@ -20,11 +20,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file anywhere below a folder; stops at the first."""
+    fs, p = _path(spark, path)
+    return fs.exists(p) and fs.listFiles(p, True).hasNext()
+
+
 def child_sizes(spark: SparkSession, path: str) -> dict[str, int]:
     fs, p = _path(spark, path)
     return {status.getPath().getName(): status.getLen() for status in fs.listStatus(p)} if fs.exists(p) else {}
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; nothing happens if there is none."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 def first_text(spark: SparkSession, path: str, text: str) -> str:
     """The text of a small file, which is made with ``text`` if there is none."""
     fs, p = _path(spark, path)
