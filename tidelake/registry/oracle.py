@@ -274,6 +274,19 @@ _REFERENCES = (
 )
 
 
+def _checks() -> str:
+    """All rules; every seventh customer never came."""
+    required = {n: (*key, "is_deleted", "_silver_updated_at") for n, key in KEYS.items()}
+    lost = _union([_orphans(*r) for r in _REFERENCES])
+    keys = _union([_repeats(f"s_{n}", n, *key) for n, key in KEYS.items()])
+    nulls = _union([part for n, columns in required.items() for part in _nulls(f"(SELECT *, TIMESTAMP '2024-01-01' AS _silver_updated_at FROM s_{n})", n, *columns)])
+    return "WITH " + ",\n".join(f"s_{n} AS (SELECT * FROM ({body}){' WHERE m%7<>0' if n == 'customers' else ''})" for n, body in MAPPED.items()) + f"""
+SELECT table_name || '.' || column_name AS checked, 'reference' AS rule, missing_keys, violations FROM ({lost})
+UNION ALL SELECT table_name || '.' || column_name, 'key', NULL, violations FROM ({keys})
+UNION ALL SELECT table_name || '.' || column_name, 'not null', NULL, violations FROM ({nulls})
+UNION ALL SELECT 'order_reviews', 'score', COUNT(*), COUNT(*) FILTER (review_score NOT BETWEEN 1 AND 5) FROM s_order_reviews"""
+
+
 def _orphans(child: str, column: str, parent: str) -> str:
     return (
         f"SELECT '{child}' AS table_name, '{column}' AS column_name, '{parent}' AS parent_table, COUNT(DISTINCT {column}) AS missing_keys, "
@@ -468,6 +481,7 @@ SELECT 'all' AS part, * FROM dated UNION ALL SELECT 'new', * FROM dated WHERE in
     "dq_review_score_range": state(
         "SELECT COUNT(*) AS rows_checked, COUNT(*) FILTER (WHERE review_score NOT BETWEEN 1 AND 5) AS violations FROM s_order_reviews", "order_reviews"),
     "dq_orphans": state(_union([_orphans(*r) for r in _REFERENCES]), *ALL),
+    "dq_checks_by_difference": _checks(),
     "dq_silver_pk": state(
         _union([_repeats(f"s_{n}", n, *key) for n, key in KEYS.items()] + [_repeats("lineitem", "raw lines", "l_orderkey", "l_linenumber")]), *ALL),
     "dq_silver_not_null": state(

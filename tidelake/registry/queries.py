@@ -14,6 +14,7 @@ from tidelake.operators import (
 )
 from tidelake.operators.envelope import MALFORMED
 from tidelake.plans import analytics, gold, metrics, quality
+from tidelake.plans.checks import Checks
 from tidelake.plans.delta import refresh_changed
 from tidelake.plans.distinct import daily_bitmaps, rolled_up
 from tidelake.plans.pipeline import (
@@ -641,6 +642,35 @@ def dq_silver_not_null(spark, folder):
     })
 
 
+@query
+def dq_checks_by_difference(spark, folder):
+    """References, keys, missing values and scores, checked whole when only orders and lines are there, and
+    by difference as the other tables, the later batches and every seventh customer's absence come."""
+    lake = Lakehouse(spark, scratch_folder(spark, "checks"), SHARED_BUCKETS)
+    checks = Checks(lake)
+
+    def merged(batch: int, *names: str) -> dict:
+        def one(name: str):
+            records = shop.changes(spark, folder, name).filter(F.col("batch") == batch)
+            rows = events_of(parsed(records))
+            absent = F.floor(F.col("_cdc_offset") / 6) % 7 == 0
+            return apply_events(lake, name, rows.where(~absent) if name == "customers" else rows, updated_at(batch), keep=True)
+
+        return {name: changes for name, (_, changes) in side_by_side(spark, one, names).items() if changes}
+
+    merged(1, "orders", "order_items")
+    checks.start()
+    checks.follow(merged(1, *(n for n in ENTITIES if n not in ("orders", "order_items"))))
+    checks.follow(merged(2, *ENTITIES))
+    checks.follow(merged(3, "orders"))
+    lost = checks.orphans().select(F.concat_ws(".", "table_name", "column_name").alias("checked"), F.lit("reference").alias("rule"), "missing_keys", "violations")
+    others = {"key": checks.state_keys(), "not null": checks.state_not_null()}
+    none = F.lit(None).cast("bigint").alias("missing_keys")
+    parts = [rows.select(F.concat_ws(".", "table_name", "column_name").alias("checked"), F.lit(rule).alias("rule"), none, "violations") for rule, rows in others.items()]
+    scores = checks.score_range().select(F.lit("order_reviews").alias("checked"), F.lit("score").alias("rule"), F.col("rows_checked").alias("missing_keys"), "violations")
+    return reduce(DataFrame.unionByName, [lost, *parts, scores])
+
+
 # ---- metrics ------------------------------------------------------------------------------------
 
 named("metrics_bronze_throughput", lambda spark, folder: metrics.log_throughput(events(spark, folder)))
