@@ -8,6 +8,7 @@ from tidelake.functions import money, percent, start_of_month
 from tidelake.operators.retention import first_two_purchases
 from tidelake.plans import gold
 from tidelake.plans.gold import Tables, active
+from tidelake.sources.tables import ReportTable
 
 
 def daily_revenue(tables: Tables) -> DataFrame:
@@ -115,3 +116,14 @@ def read_order_funnel(reports: Tables, limit: int = 52) -> DataFrame:
         reports["order_funnel"].select("order_week", "total_created", "delivered", "canceled", "delivery_rate_pct")
         .orderBy(F.desc("order_week")).limit(limit)
     )
+
+
+def stored_read(name: str, table: ReportTable) -> DataFrame:
+    """A read of a stored report from the part of it that can hold the rows asked for."""
+    if name == "daily_revenue":
+        return read_daily_revenue({name: table.newest(100)})
+    if name == "top_sellers":
+        return read_top_sellers({name: table.largest(50)})
+    if name == "order_funnel":
+        return read_order_funnel({name: table.newest(52)})
+    return read_review_sentiment({name: table.read()})  # all of its rows are asked for

@@ -25,7 +25,7 @@ from tidelake.session import configure, scratch_folder
 from tidelake.sources import shop_sample as shop
 from tidelake.sources.event_log import append_events, close_days, read_new_events, stream_events
 from tidelake.sources.files import EXPORT_FILES, load_csv, read_record_files
-from tidelake.sources.tables import stored
+from tidelake.sources.tables import ReportTable, stored
 from tidelake.streaming import start_histogram, start_ingest, start_state
 from tidelake.streaming.ingest import DRAIN
 
@@ -117,23 +117,23 @@ for _name, (_plan, _reads) in _ANALYTICS.items():
     named(_name, lambda spark, folder, p=_plan, r=_reads: p(shop.current_tables(spark, folder, r)))
 
 
-def stored_reports(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    """Reports computed, stored and read back."""
+def report_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, ReportTable]:
+    """Reports computed and stored."""
     lake = Lakehouse(spark, scratch_folder(spark, "reports"), SHARED_BUCKETS)
     for name in names:
         rows = gold.MODELS[name](shop.current_tables(spark, folder, gold.READS[name]))
         lake.report_table(name).publish(rows)
-    return {name: lake.report_table(name).read() for name in names}
+    return {name: lake.report_table(name) for name in names}
 
 
-_READS = {
-    "mv_q01": (analytics.read_daily_revenue, "daily_revenue"),
-    "mv_q02": (analytics.read_top_sellers, "top_sellers"),
-    "mv_q03": (analytics.read_review_sentiment, "review_sentiment_by_state"),
-    "mv_q04": (analytics.read_order_funnel, "order_funnel"),
-}
-for _name, (_plan, _report) in _READS.items():
-    named(_name, lambda spark, folder, p=_plan, r=_report: p(stored_reports(spark, folder, r)))
+def stored_reports(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """Reports computed, stored and read back."""
+    return {name: table.read() for name, table in report_tables(spark, folder, *names).items()}
+
+
+_READS = {"mv_q01": "daily_revenue", "mv_q02": "top_sellers", "mv_q03": "review_sentiment_by_state", "mv_q04": "order_funnel"}
+for _name, _report in _READS.items():
+    named(_name, lambda spark, folder, r=_report: analytics.stored_read(r, report_tables(spark, folder, r)[r]))
 
 
 @query

@@ -201,3 +201,7 @@ GOLD_LAYOUT: dict[str, tuple[str, str]] = {
     "review_sentiment_by_state": ("identity", "customer_state"),
     "order_funnel": ("month", "order_week"),
 }
+# The column by which a stored report's files are sorted, largest first, so that a filter on it reads their heads only.
+GOLD_LARGEST_FIRST: dict[str, str] = {
+    "daily_revenue": "order_date", "top_sellers": "gmv", "review_sentiment_by_state": "review_count", "order_funnel": "order_week",
+}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidelake.functions import bucket_of, folder_of, month_of
 from tidelake.operators.latest import latest_per_key, recency
 from tidelake.operators.merge import merge
-from tidelake.schemas import GOLD, GOLD_LAYOUT, Entity
+from tidelake.schemas import GOLD, GOLD_LARGEST_FIRST, GOLD_LAYOUT, Entity
 from tidelake.session import scratch_folder
 from tidelake.sources.catalog import declare_table, layout_column
 from tidelake.sources.storage import child_names, child_sizes
@@ -54,7 +54,7 @@ class PartitionedTable:
 
     def __init__(self, spark: SparkSession, database: str, name: str, root: str, schema: T.StructType, layout: tuple[str, str], buckets: int, clustered: str | None = None):
         self.spark, self.schema, self.layout, self.buckets, self.clustered = spark, schema, layout, buckets, clustered
-        self.root, self.folder = root.rstrip("/"), layout_column(layout)
+        self.root, self.folder, self.largest_first = root.rstrip("/"), layout_column(layout), None
         self.name = declare_table(spark, database, name, self.root, schema, layout, buckets, clustered)
 
     def placed(self, rows: DataFrame) -> DataFrame:
@@ -112,6 +112,8 @@ class PartitionedTable:
     def overwrite(self, rows: DataFrame) -> None:
         """Replace the partitions that the placed ``rows`` fall into. Others keep their files."""
         spread = rows.repartition(self.buckets, self.clustered) if self.clustered else rows.hint("rebalance", self.folder)
+        if self.largest_first:
+            spread = spread.sortWithinPartitions(self.folder, F.desc(self.largest_first))
         spread.write.insertInto(self.name, overwrite=True)
 
     def overwrite_all(self, rows: DataFrame, partitions: set) -> None:
@@ -197,7 +199,37 @@ class ReportTable(PartitionedTable):
 
     def __init__(self, spark: SparkSession, database: str, name: str, root: str, buckets: int = 8):
         super().__init__(spark, database, name, root, GOLD[name], GOLD_LAYOUT[name], buckets)
-        self.group = GOLD_LAYOUT[name][1]
+        self.group, self.largest_first = GOLD_LAYOUT[name][1], GOLD_LARGEST_FIRST[name]
+
+    def newest(self, count: int) -> DataFrame:
+        """Rows of the newest months that hold ``count`` rows between them, or the whole report if all do not.
+
+        Months are taken by doubling, and counted by their files' own counts.
+        """
+        if self.layout[0] != "month":
+            raise ValueError(f"{self.name} is not laid out by time")
+        months = sorted(self.partitions() - {None}, reverse=True)
+        taken = 1
+        while taken <= len(months):
+            rows = self.read(months[:taken])
+            if rows.count() >= count:
+                return rows
+            taken *= 2
+        return self.read()
+
+    def largest(self, count: int) -> DataFrame:
+        """Rows that hold the ``count`` largest values of the column its files are sorted by, and those equal to the last.
+
+        The ``count``-th of one partition bounds that of all from below. It becomes a filter, so of
+        every other file only the head is read.
+        """
+        column = self.largest_first
+        for partition in sorted(self.partitions(), key=str):
+            head = self.read([partition]).where(F.col(column).isNotNull()).select(column).orderBy(F.desc(column)).limit(count)
+            least = head.agg(F.count("*").alias("n"), F.min(column).alias("least")).first()
+            if least["n"] == count:
+                return self.read().where(F.col(column) >= F.lit(least["least"]))
+        return self.read()
 
     def publish(self, rows: DataFrame) -> None:
         """Make ``rows`` the whole report."""
