@@ -27,3 +27,10 @@ def test_record_files_follow_the_size_and_triggers_do_not(spark, large):
     assert len(records) == 4 * queries.RECORD_FILES
     for stream, most in (("ingest", 3), ("state", 3)):
         assert len([n for n in child_names(spark, f"{lake.root}/checkpoints/{stream}/commits") if n.isdigit()]) <= most
+
+
+def test_sketches_and_their_check_read_events_that_are_made_once(spark, small, monkeypatch):
+    made, all_changes = [], shop.all_changes
+    monkeypatch.setattr(shop, "all_changes", lambda *x: made.append(x) or all_changes(*x))
+    rows = queries.QUERIES["metrics_e2e_latency_sketches"](spark, small).collect()
+    assert len(made) == 1 and len(rows) == 7 and all(r[k] for r in rows for k in range(1, 4))
