@@ -158,3 +158,28 @@ def test_counts_of_nul_characters(spark, library):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     for rows in (frame.coalesce(1), frame.repartition(3)):
         assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in count_tokens(rows).collect()} == {i: (len(t), len(plain(library, t))) for i, t in enumerate(texts)}
+
+
+def test_unknown_units_go_to_the_library_strung_together():
+    from tidelake.llm.tokens import Encoder
+
+    class Counted:
+        def __init__(self, library):
+            self.library, self.texts = library, 0
+
+        def __getattr__(self, name):
+            return getattr(self.library, name)
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += len(texts)
+            return self.library.encode_batch_fast(texts, **more)
+
+    made = Encoder(default_tokenizer())
+    library = made.library
+    made.library, made.words = Counted(library), Counted(made.words)
+    texts = ["\n".join(" ".join(f"wo{'abcdefgh'[k % 8]}rd{'xyzéñ'[i % 5] * (k % 7 + 1)}{['', '.', '$$$', '12'][i % 4]}" for k in range(40)) for i in range(20)) for _ in range(3)]
+    texts += ["a\n", "\nb", "x \n y", "a\r\nb", " the <|endoftext|> end", "it's 's it'll", "1\xa0 \xa02", "", "\n", "tab\tbed $$$$$ '"]
+    want = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert list(made.encode(texts)) == want
+    units = {u for t in texts for u in made.units(t)}
+    assert len(units) > 300 and made.library.texts + made.words.texts < len(units) / 3

@@ -1,9 +1,11 @@
 """Token ids of whole texts as the tokenizers library gives them.
 
 A byte-level tokenizer with the usual word pattern never joins text across a space between two
-visible characters, and the space goes with what follows. So a text is a row of units, each
-with its leading space, and a unit has the same ids wherever it stands. Ids of units are kept
-in a table of bounded size. Any other kind of tokenizer gets whole texts.
+visible characters, and the space goes with what follows; a line feed between two such
+characters stands alone. So a text is a row of units, each with its leading space, and a unit
+has the same ids wherever it stands. Ids of units are kept in a table of bounded size. The
+library gets unknown units strung together: the ids that begin with a space tell them apart.
+Any other kind of tokenizer gets whole texts.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ import re
 from array import array
 from collections.abc import Iterable
 from pathlib import Path
+from string import punctuation
+
+import numpy as np
 
 from tidelake.llm.common import slices
 
@@ -24,6 +29,11 @@ _CACHE_BYTES = 128 << 20
 _ENTRY_BYTES = 200
 # Units that the library gets at once: the results of a few hundred stay in the processor's cache.
 _AT_ONCE = 200
+# Kept runs of marks, and characters of such a run.
+_MARKS = 10_000
+_MARK_CHARS = 4
+# The byte alphabet's letter for a space.
+_SPACE = "\u0120"
 
 
 def default_tokenizer() -> str:
@@ -48,14 +58,19 @@ class Encoder:
         self.library.no_padding()
         self.by_unit = _cuts_at_spaces(json.loads(Path(path).read_text()))
         self.words, self.marks = None, {}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.opens = np.zeros(max(self.library.get_vocab(with_added_tokens=True).values(), default=0) + 1, bool)
+        self.opens[[i for x, i in vocabulary.items() if x[0] == _SPACE]] = True
+        # Where tokens with a space further in are of spaces alone, units never grow together.
+        spaces = set(_bytes_as_letters(" \t\n\x0b\x0c\r\x85\xa0"))
+        self.strung = self.by_unit and all(x[0] == _SPACE and set(x) <= spaces for x in vocabulary if _SPACE in x[1:])
         if self.by_unit and not any(x.content.isalpha() for x in self.library.get_added_tokens_decoder().values()):
-            # A unit of letters, with or without a mark at its end, needs no split: it goes to a
+            # A unit of letters, with or without marks at its end, needs no split: it goes to a
             # tokenizer without one, in the byte alphabet.
             self.words = Tokenizer.from_file(path)
             self.words.no_truncation()
             self.words.no_padding()
             self.words.pre_tokenizer = None
-            self.marks = {x: self.library.encode(x, add_special_tokens=False).ids for x in ",.;:!?"}
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -71,15 +86,22 @@ class Encoder:
 
     def count(self, units: list[str]) -> list[int]:
         """The number of ids of each unit; nothing is kept."""
-        return [len(x) for i in range(0, len(units), _AT_ONCE) for x in self._found(units[i : i + _AT_ONCE])]
+        return [len(x) // 4 for i in range(0, len(units), _AT_ONCE) for x in self._found(units[i : i + _AT_ONCE])]
 
     def units(self, text: str) -> list[str]:
-        """The text's units. The first one, which has no space before it, is marked by one."""
+        """The text's units. One that has no space before it, at the begin of text or line, is marked by one."""
         if not text or not self.by_unit:
             return [" " + text] if text else []
-        row = _UNIT_END.split(text) if _TWO_SPACES.search(text) else text.split(" ")
-        row[0] = " " + row[0]
-        return row
+        if _TWO_SPACES.search(text):
+            row = _UNIT_END.split(text)
+            row[0] = " " + row[0]
+            return row
+        row = []
+        for line in text.split("\n"):
+            begin = len(row) + 1
+            row += [" \n", *line.split(" ")]
+            row[begin] = " " + row[begin]
+        return row[1:]
 
     def _learn(self, units: set[str]) -> None:
         if self.held > _CACHE_BYTES:
@@ -93,32 +115,56 @@ class Encoder:
                 self.held += len(unit) + len(ids) + _ENTRY_BYTES
         for i in range(0, len(unknown), _AT_ONCE):
             part = unknown[i : i + _AT_ONCE]
-            found = [array("I", x).tobytes() for x in self._found(part)]
+            found = self._found(part)
             self.ids.update(zip(part, found, strict=True))
             self.held += sum(map(len, part)) + sum(map(len, found)) + _ENTRY_BYTES * len(part)
 
-    def _found(self, units: list[str]) -> list[list[int]]:
+    def _found(self, units: list[str]) -> list[bytes]:
         """The ids of each unit from the library."""
-        out: list[list[int]] = [[]] * len(units)
-        words, word_at, rest, rest_at = [], [], [], []
+        out = [b""] * len(units)
+        words, rest, alone = [], [], []  # (place, what the library gets, ids of the marks at the end)
         for i, unit in enumerate(units):
             first = unit[:1] == " "
-            mark = self.marks.get(unit[-1:])
-            core = unit[first : -1 if mark else None]
-            if self.words and core.isalpha():
-                words.append(("" if first else "\u0120") + core if core.isascii() else _bytes_as_letters(core if first else " " + core))
-                word_at.append((i, mark or []))
+            text = unit[1:] if first else unit
+            core = text.rstrip(punctuation)
+            if self.words and core.isalpha() and len(text) - len(core) <= _MARK_CHARS:
+                letters = core if core.isascii() else _bytes_as_letters(core)
+                (alone if first else words).append((i, letters if first else _SPACE + letters, self._mark(text[len(core) :]), self.words))
+            elif first or not text or " " in text or text[0].isspace() or text[-1].isspace():
+                alone.append((i, text if first else " " + text, b"", self.library))
             else:
-                rest.append(unit[1:] if first else " " + unit)
-                rest_at.append(i)
-        if words:
-            for (i, mark), x in zip(word_at, self.words.encode_batch_fast(words, add_special_tokens=False), strict=True):
-                out[i] = x.ids + mark
-        if rest:
-            for i, x in zip(rest_at, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-                out[i] = x.ids
+                rest.append((i, " " + text, b"", self.library))
+        for some in (words, rest):
+            if some and not self._strung(some, out):
+                alone += some
+        for library in (self.words, self.library):
+            some = [x for x in alone if x[3] is library]
+            if some:
+                for (i, _, mark, _), x in zip(some, library.encode_batch_fast([x[1] for x in some], add_special_tokens=False), strict=True):
+                    out[i] = array("I", x.ids).tobytes() + mark
         return out
 
+    def _strung(self, some: list[tuple], out: list[bytes]) -> bool:
+        """Encode units that begin with a space as one text; false where the ids do not tell them apart."""
+        if not self.strung:
+            return False
+        ids = np.array(some[0][3].encode_batch_fast(["".join([x[1] for x in some])], add_special_tokens=False)[0].ids, np.uint32)
+        begins = np.flatnonzero(self.opens[ids])
+        if len(begins) != len(some) or begins[0]:
+            return False
+        raw, ends = ids.tobytes(), (4 * begins).tolist()
+        for (i, _, mark, _), begin, end in zip(some, ends, [*ends[1:], len(raw)], strict=True):
+            out[i] = raw[begin:end] + mark
+        return True
+
+    def _mark(self, mark: str) -> bytes:
+        """The ids of a run of ASCII marks."""
+        if (ids := self.marks.get(mark)) is None:
+            if len(self.marks) > _MARKS:
+                self.marks = {}
+            ids = self.marks[mark] = array("I", self.library.encode(mark, add_special_tokens=False).ids).tobytes()
+        return ids
+
 
 def _byte_letters() -> dict[int, str]:
     """The byte alphabet: visible Latin-1 characters stand for themselves, other bytes for those from 256 on."""
