@@ -245,8 +245,8 @@ def bronze_snapshot_times(spark, folder):
 def ingested(spark: SparkSession, folder: str, names=tuple(ENTITIES), parts: int = RECORD_FILES) -> Lakehouse:
     """The history as record files, taken into the log by the stream a third of the files at a time."""
     lake = new_lake(spark, folder, "stream")
-    records, scale = shop.all_changes(spark, folder, names).drop("batch"), file_scale(spark, folder)
-    records.repartition(parts * scale).write.parquet(f"{lake.root}/records")
+    scale = file_scale(spark, folder)
+    shop.dealt_changes(spark, folder, parts * scale, names).drop("batch").write.parquet(f"{lake.root}/records")
     start_ingest(
         read_record_files(spark, f"{lake.root}/records", max_files=2 * scale), lake.log_root,
         f"{lake.root}/checkpoints/ingest", DRAIN, ingested_at=F.col("timestamp"),
@@ -273,10 +273,10 @@ def bronze_stream_dedup(spark, folder):
     events share an event's position, so they get others, as a broker would give them."""
     lake = new_lake(spark, folder, "dedup")
     no_event = F.col("value").isNull() | (F.col("value") == F.lit("not json").cast("binary"))
-    records = shop.all_changes(spark, folder).withColumn("offset", F.when(no_event, -1 - F.col("offset")).otherwise(F.col("offset")))
-    again, scale = records.where(F.col("batch") > 1), file_scale(spark, folder)
-    for part in (records, again):
-        part.drop("batch").repartition(4 * scale).write.mode("append").parquet(f"{lake.root}/records")
+    scale = file_scale(spark, folder)
+    again = shop.all_changes(spark, folder).where(F.col("batch") > 1).repartition(4 * scale)
+    for part in (shop.dealt_changes(spark, folder, 4 * scale), again):
+        part.withColumn("offset", F.when(no_event, -1 - F.col("offset")).otherwise(F.col("offset"))).drop("batch").write.mode("append").parquet(f"{lake.root}/records")
     start_ingest(
         read_record_files(spark, f"{lake.root}/records", max_files=3 * scale), lake.log_root,
         f"{lake.root}/checkpoints/ingest", DRAIN, F.col("timestamp"), drop_repeats="1 hour",

@@ -8,9 +8,10 @@ number; every order takes part.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.operators.latest import latest_per_key
 from tidelake.schemas import ENTITIES, Entity
@@ -198,20 +199,20 @@ def _encoded(column: Column, kind, as_epoch: bool) -> Column:
     return column.cast("string") if name == "decimal" and as_epoch else column
 
 
-def _image(entity: Entity, as_epoch: bool) -> Column:
+def _image(entity: Entity, as_epoch: bool, row: str) -> Column:
     """The row as the source holds it: source field names, times in one of the two encodings."""
     fields = []
     for name, kind in entity.columns.items():
-        value = c(name)
+        value = c(f"{row}.{name}")
         if entity.name == "orders" and name == "status":
             value = F.coalesce(c("event.status"), value)
         fields.append(_encoded(value, kind, as_epoch).alias(entity.source_field(name)))
     return F.struct(*fields)
 
 
-def _envelope(entity: Entity, as_epoch: bool) -> Column:
+def _envelope(entity: Entity, as_epoch: bool, row: str) -> Column:
     op = c("event.kind")
-    image = _image(entity, as_epoch)
+    image = _image(entity, as_epoch, row)
     source = F.struct(
         c("event.ts_ms").alias("ts_ms"), F.lit(entity.name).alias("table"), F.lit("shop").alias("db"), c("m").alias("lsn")
     )
@@ -222,30 +223,55 @@ def _envelope(entity: Entity, as_epoch: bool) -> Column:
     return F.to_json(doc, {"ignoreNullFields": "false"})
 
 
-def changes(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The history of one entity as broker records, with the ``batch`` each arrives in.
+def _by_name(names: Iterable[str], value: Callable[[str], Column]) -> Column:
+    first, *others = names
+    return reduce(lambda chosen, n: chosen.when(c("name") == n, value(n)), others, F.when(c("name") == first, value(first)))
 
-    Odd rows of a first batch carry epoch numbers and even ones ISO text, as the two loaders do.
-    A record's time is its commit time plus ``m % 60`` seconds and 250 ms.
-    """
-    entity = ENTITIES[name]
-    rows = mapped(spark, folder, name).withColumn("event", F.explode(F.array_compact(_history(entity))))
+
+def _records(rows: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The histories of rows that stand, by the ``name`` of their entity, in a column of that name."""
+    rows = rows.withColumn("event", F.explode(F.array_compact(_by_name(names, lambda n: _history(ENTITIES[n])))))
     text_times = (c("event.batch") == 1) & (c("m") % 2 == 0)
     value = (
         F.when(c("event.kind") == "tombstone", None).when(c("event.kind") == "junk", "not json")
-        .when(text_times, _envelope(entity, False)).otherwise(_envelope(entity, True))
+        .when(text_times, _by_name(names, lambda n: _envelope(ENTITIES[n], False, n)))
+        .otherwise(_by_name(names, lambda n: _envelope(ENTITIES[n], True, n)))
     )
     arrived_ms = c("event.ts_ms") + (c("m") % 60) * 1000 + 250
     return rows.select(
         _text(c("m")).cast("binary").alias("key"), value.cast("binary").alias("value"),
-        F.lit(f"{TOPIC_PREFIX}.{name}").alias("topic"), (c("m") % 3).cast("int").alias("partition"),
+        F.concat(F.lit(f"{TOPIC_PREFIX}."), "name").alias("topic"), (c("m") % 3).cast("int").alias("partition"),
         (c("m") * 6 + c("event.seq")).alias("offset"), F.timestamp_millis(arrived_ms).alias("timestamp"),
         F.lit(0).alias("timestampType"), c("event.batch").alias("batch"),
     )
 
 
+def _named_rows(spark: SparkSession, folder: str, name: str, names: Iterable[str]) -> DataFrame:
+    """Mapped rows in a column of their entity's name, beside a null one for each other entity."""
+    row = F.struct(*ENTITIES[name].columns)
+    others = {n: F.lit(None).cast(T.StructType([T.StructField(k, kind) for k, kind in ENTITIES[n].columns.items()])) for n in names}
+    return mapped(spark, folder, name).select("m", "is_deleted", F.lit(name).alias("name"), *[(row if n == name else others[n]).alias(n) for n in names])
+
+
+def changes(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The history of one entity as broker records, with the ``batch`` each arrives in.
+
+    Odd rows of a first batch carry epoch numbers and even ones ISO text, as the two loaders do.
+    A record's time is its commit time plus ``m % 60`` seconds and 250 ms.
+    """
+    return _records(_named_rows(spark, folder, name, [name]), [name])
+
+
 def all_changes(spark: SparkSession, folder: str, names: Iterable[str] = tuple(ENTITIES)) -> DataFrame:
     first, *others = [changes(spark, folder, name) for name in names]
     for other in others:
         first = first.unionByName(other)
     return first
+
+
+def dealt_changes(spark: SparkSession, folder: str, parts: int, names: Iterable[str] = tuple(ENTITIES)) -> DataFrame:
+    """As :func:`all_changes`, in ``parts`` parts of records of all entities: rows are exchanged, not the
+    records made of them, which have their texts once or twice."""
+    names = list(names)
+    rows = reduce(DataFrame.unionByName, [_named_rows(spark, folder, name, names) for name in names])
+    return _records(rows.repartition(parts, "name", "m"), names)

@@ -16,12 +16,14 @@ from tidelake.operators.merge import merge
 from tidelake.schemas import GOLD, GOLD_LARGEST_FIRST, GOLD_LAYOUT, Entity
 from tidelake.session import scratch_folder
 from tidelake.sources.catalog import declare_table, layout_column
-from tidelake.sources.storage import child_names, child_sizes
+from tidelake.sources.storage import child_names, child_sizes, delete
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
-    """Rows written to the shared folder and read again: computed once, whatever comes after."""
+def stored(rows: DataFrame, label: str, folders: list[str] | None = None) -> DataFrame:
+    """Rows written to the shared folder and read again: computed once, whatever comes after. ``folders`` gets the place."""
     folder = scratch_folder(rows.sparkSession, label)
+    if folders is not None:
+        folders.append(folder)
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
@@ -158,8 +160,17 @@ class StateTable(PartitionedTable):
         whose month changes leaves one and enters another. Where the key does not tell the
         partition, the table's keys are read to find it. A partition that loses its last row is
         emptied first; a batch lost on the way can be repeated, and brings back what it moved.
+        What is stored in between goes at the end; ``keep`` leaves the tables of the changes.
         """
-        batch = stored(self.placed(staged), f"staged-{self.entity.name}")
+        between: list[str] = []
+        try:
+            return self._merge(staged, late_guard, delete_keeps_target, keep, between)
+        finally:
+            for folder in between:
+                delete(self.spark, folder)
+
+    def _merge(self, staged: DataFrame, late_guard: bool, delete_keeps_target: bool, keep: bool, between: list[str]) -> tuple[set, Changes | None]:
+        batch = stored(self.placed(staged), f"staged-{self.entity.name}", None if keep else between)
         touched = self.in_use(batch)
         if not touched:
             return set(), None
@@ -168,7 +179,7 @@ class StateTable(PartitionedTable):
         twice = False
         if there and self.layout[1] not in key:
             where = self.whole().select(*key, self.folder).alias("old").join(batch.select(*key, self.folder).alias("new"), key)
-            found = stored(where.select(*key, F.col(f"old.{self.folder}").alias("at"), F.col(f"new.{self.folder}").alias("goes")), f"places-{self.entity.name}")
+            found = stored(where.select(*key, F.col(f"old.{self.folder}").alias("at"), F.col(f"new.{self.folder}").alias("goes")), f"places-{self.entity.name}", between)
             places = found.groupBy("at").agg(F.count_if(~F.col("at").eqNullSafe(F.col("goes"))).alias("moved"), F.count("*").alias("n")).collect()
             touched |= {r["at"] for r in places}
             moves = any(r["moved"] for r in places)
@@ -184,7 +195,7 @@ class StateTable(PartitionedTable):
             changes = Changes(stored(old.join(new, same("old", "new", key), "left_semi"), f"before-{self.entity.name}"), batch)
         merged = self.placed(merge(rows, batch, self.entity, late_guard, delete_keeps_target))
         if moves:
-            merged = stored(merged, f"merged-{self.entity.name}")
+            merged = stored(merged, f"merged-{self.entity.name}", between)
             self.clear((touched & there) - self.in_use(merged))
         self.overwrite(merged)
         return touched, changes
